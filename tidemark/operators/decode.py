@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import coerce, time
+from tidemark.operators.shaping import computed_once
 from tidemark.schemas import ID, LOG_COLUMNS, MONEY, TEXT, TIME, Entity
 
 UPSERT, DELETE, REJECT, IGNORE = "upsert", "delete", "reject", "ignore"
@@ -59,7 +60,7 @@ def route_messages(messages: DataFrame) -> DataFrame:
             "unreadable ts_ms",
         )
     )
-    return fields.withColumn("reason", reason).select(
+    routed = fields.withColumn("reason", reason).select(
         F.when(F.col("reason").isNull(), LOG).otherwise(QUARANTINE).alias("route"),
         "entity",
         "kafka_topic",
@@ -72,6 +73,7 @@ def route_messages(messages: DataFrame) -> DataFrame:
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("raw_value"),
         time.now().alias("processed_at"),
     )
+    return computed_once(routed)
 
 
 def log_rows(routed: DataFrame) -> DataFrame:
@@ -108,7 +110,7 @@ _READERS = {
 
 
 def decode_changes(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFrame:
-    """Typed changes of one entity: its columns plus `action`, `kafka_partition`, `kafka_offset`.
+    """Typed changes of one entity: its columns, `action`, `op` and the position.
 
     * op "d" with a filled `before` deletes the key found there; anything else with a filled
       `after` upserts the whole row, absent fields becoming NULL; the rest is ignored.
@@ -150,6 +152,7 @@ def decode_changes(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFra
         if kind == TIME
     }
     typed = images.select(
+        "op",
         "kafka_partition",
         "kafka_offset",
         deletes.alias("deletes"),
@@ -168,6 +171,7 @@ def decode_changes(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFra
     key = F.when(F.col("deletes"), F.col("before_key")).otherwise(F.col(entity.key))
     return typed.select(
         action.alias("action"),
+        "op",
         key.alias(entity.key),
         *[
             F.when(~F.col("deletes"), times.get(c, F.col(c))).alias(c)

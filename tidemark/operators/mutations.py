@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import money, time
+from tidemark.operators.numbering import number_rows
 from tidemark.operators.sampling import random_k, top_k
+from tidemark.schemas import ENTITIES
+from tidemark.sources.tables import Tables
 
 # Payment state by order status, any other status being paid.
 PAYMENT_STATUS = {"canceled": "voided", "refunded": "refunded"}
@@ -116,3 +119,29 @@ def reconcile_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
             ),
         )
     )
+
+
+def new_orders(carts: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders, items and payments for carts, with ids continuing the tables'.
+
+    Carts have one row per line: `cart`, `customer_id`, `order_ts`, `product_id`, `quantity`. Lines
+    of unknown products are left out. Orders are placed, payments paid five minutes later.
+    """
+    lines = price_lines(carts, tables.products)
+    heads = lines.groupBy("cart", "customer_id", "order_ts").agg(
+        *money.sum_parts(F.col("line_amount"), "line")
+    )
+    placed = number_rows(heads, tables.orders, "order_id", ["cart"]).withColumn(
+        "total_amount", money.total("line")
+    )
+    orders = placed.select(
+        "order_id", "customer_id", "order_ts", F.lit("placed").alias("status"), "total_amount"
+    )
+    owned = lines.join(placed.select("cart", "order_id"), "cart")
+    items = number_rows(owned, tables.order_items, "order_item_id", ["order_id", "product_id"])
+    paid = number_rows(payments_from_orders(orders).drop("payment_id"), tables.payments, "payment_id", ["order_id"])
+    return (
+        orders,
+        items.select(*ENTITIES["order_items"].column_names),
+        paid.select(*ENTITIES["payments"].column_names),
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import time
 from tidemark.operators.mutations import payments_from_orders
+from tidemark.operators.shaping import computed_once
 from tidemark.sources.tables import Tables
 
 TOPIC_PREFIX = "shop.public"
@@ -134,12 +135,13 @@ def change_messages(events: DataFrame) -> DataFrame:
         ),
     }
     slot = user % len(EVENT_ENTITIES)
-    return events.withColumn("op", op).select(
+    messages = events.withColumn("op", op).select(
         F.concat(F.lit(TOPIC_PREFIX + "."), _pick(slot, [F.lit(e) for e in EVENT_ENTITIES])).alias("topic"),
         (user % PARTITIONS).cast("int").alias("partition"),
         event.alias("offset"),
         _pick(slot, [_envelope(after[e]) for e in EVENT_ENTITIES]).cast("binary").alias("value"),
     )
+    return computed_once(messages)
 
 
 def _pick(slot: Column, choices: list[Column]) -> Column:
