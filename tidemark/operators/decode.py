@@ -9,6 +9,8 @@ A message carries a JSON envelope `{"op", "ts_ms", "before", "after"}`. Two step
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,45 +37,48 @@ def route_messages(messages: DataFrame) -> DataFrame:
     Messages without a value are dropped. A row that cannot be logged (not UTF-8, not JSON, not
     an object, unreadable ts_ms) keeps its raw bytes and a reason.
     """
+    routed = messages.where(F.col("value").isNotNull())
+    for columns in _route_steps():
+        routed = routed.select(*columns)
+    return computed_once(routed)
+
+
+@cache
+def _route_steps() -> tuple[list[Column], ...]:
     text = F.try_validate_utf8(F.col("value"))
-    parsed = messages.where(F.col("value").isNotNull()).select(
+    parsed = [
         entity_of(F.col("topic")).alias("entity"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        "value",
+        F.col("value"),
         text.alias("payload"),
         F.try_parse_json(text).alias("doc"),
-    )
-    fields = parsed.withColumn(
-        "head",
-        F.try_variant_get("doc", "$", "struct<op:variant,ts_ms:variant>"),
-    )
+    ]
+    head = [F.col("*"), F.try_variant_get("doc", "$", "struct<op:variant,ts_ms:variant>").alias("head")]
     stamp = F.col("head.ts_ms")
     read_stamp = coerce.to_id(stamp)
+    unreadable = stamp.isNotNull() & ~F.is_variant_null(stamp) & read_stamp.isNull()
     reason = (
         F.when(F.col("payload").isNull(), "invalid utf-8")
         .when(F.col("doc").isNull(), "invalid json")
         .when(F.col("head").isNull(), "not an object")
-        .when(
-            stamp.isNotNull() & ~F.is_variant_null(stamp) & read_stamp.isNull(),
-            "unreadable ts_ms",
-        )
+        .when(unreadable, "unreadable ts_ms")
     )
-    routed = fields.withColumn("reason", reason).select(
+    routed = [
         F.when(F.col("reason").isNull(), LOG).otherwise(QUARANTINE).alias("route"),
-        "entity",
-        "kafka_topic",
-        "kafka_partition",
-        "kafka_offset",
+        F.col("entity"),
+        F.col("kafka_topic"),
+        F.col("kafka_partition"),
+        F.col("kafka_offset"),
         coerce.to_text(F.col("head.op")).alias("op"),
         read_stamp.alias("event_ts_ms"),
-        "payload",
-        "reason",
+        F.col("payload"),
+        F.col("reason"),
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("raw_value"),
         time.now().alias("processed_at"),
-    )
-    return computed_once(routed)
+    ]
+    return parsed, head, [F.col("*"), reason.alias("reason")], routed
 
 
 def log_rows(routed: DataFrame) -> DataFrame:
@@ -118,18 +123,27 @@ def decode_changes(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFra
 
     `id_bits=32` additionally rejects ids outside the 32-bit range.
     """
+    for columns in _decode_steps(entity, id_bits):
+        log = log.select(*columns)
+    return log
+
+
+@cache
+def _decode_steps(entity: Entity, id_bits: int) -> tuple[list[Column], ...]:
+    """The columns of the successive selects.
+
+    Kept between calls: putting the expressions together takes longer than planning them, and a
+    stream needs the same ones for every micro-batch.
+    """
     columns = entity.column_names
     defaults = dict(entity.defaults)
-    images = log.select(
-        "op",
-        "kafka_partition",
-        "kafka_offset",
-        F.try_parse_json("payload").alias("doc"),
-    ).select(
-        "*",
+    position = [F.col("kafka_partition"), F.col("kafka_offset")]
+    parsed = [F.col("op"), *position, F.try_parse_json("payload").alias("doc")]
+    images = [
+        F.col("*"),
         _image("before", [entity.key]).alias("before"),
         _image("after", columns).alias("after"),
-    )
+    ]
 
     def read(kind: str, name: str) -> list[Column]:
         field = F.col(f"after.{name}")
@@ -151,15 +165,14 @@ def decode_changes(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFra
         for name, kind in entity.columns
         if kind == TIME
     }
-    typed = images.select(
-        "op",
-        "kafka_partition",
-        "kafka_offset",
+    typed = [
+        F.col("op"),
+        *position,
         deletes.alias("deletes"),
         _is_filled("after", columns).alias("upserts"),
         coerce.to_id(F.col(f"before.{entity.key}"), id_bits).alias("before_key"),
         *[column for name, kind in entity.columns for column in read(kind, name)],
-    )
+    ]
     readable = F.lit(True)
     for name in entity.required:
         readable = readable & F.col(name).isNotNull()
@@ -169,18 +182,18 @@ def decode_changes(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFra
         .otherwise(IGNORE)
     )
     key = F.when(F.col("deletes"), F.col("before_key")).otherwise(F.col(entity.key))
-    return typed.select(
+    changes = [
         action.alias("action"),
-        "op",
+        F.col("op"),
         key.alias(entity.key),
         *[
             F.when(~F.col("deletes"), times.get(c, F.col(c))).alias(c)
             for c in columns
             if c != entity.key
         ],
-        "kafka_partition",
-        "kafka_offset",
-    )
+        *position,
+    ]
+    return parsed, images, typed, changes
 
 
 def rejected_rows(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFrame:

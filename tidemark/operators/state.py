@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.decode import DELETE, UPSERT
 from tidemark.schemas import Entity
@@ -11,8 +12,20 @@ from tidemark.schemas import Entity
 DELETED, PARTITION, OFFSET = "_deleted", "_partition", "_offset"
 
 
+def version_schema(entity: Entity) -> T.StructType:
+    """A stored row: the entity's columns, whether it is deleted, and the change it comes from."""
+    return T.StructType(
+        [
+            *entity.schema.fields,
+            T.StructField(DELETED, T.BooleanType()),
+            T.StructField(PARTITION, T.IntegerType()),
+            T.StructField(OFFSET, T.LongType()),
+        ]
+    )
+
+
 def versioned_columns(entity: Entity) -> list[str]:
-    return [*entity.column_names, DELETED, PARTITION, OFFSET]
+    return version_schema(entity).fieldNames()
 
 
 def latest_changes(changes: DataFrame, entity: Entity) -> DataFrame:
@@ -66,11 +79,10 @@ def merge_versions(
     """
     columns = [c for c in versioned_columns(entity) if c != entity.key]
     keys = [entity.key] if cluster_by is None else [cluster_by, entity.key]
+    layout = T.StructType([f for f in version_schema(entity) if f.name != entity.key])
 
     def side(frame: DataFrame, name: str, other: str) -> DataFrame:
-        filled = F.struct(*columns)
-        layout = frame.select(filled.alias("s")).schema["s"].dataType
-        return frame.select(*keys, filled.alias(name), F.lit(None).cast(layout).alias(other))
+        return frame.select(*keys, F.struct(*columns).alias(name), F.lit(None).cast(layout).alias(other))
 
     both = side(stored, "stored", "incoming").unionByName(side(incoming, "incoming", "stored"))
     if cluster_by is not None:

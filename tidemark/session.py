@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    # Recording the Python call site of every column slows down the building of large plans.
+    builder = SparkSession.builder.appName(app).config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for name, value in conf.items():

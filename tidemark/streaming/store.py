@@ -109,7 +109,7 @@ class ChangeStore:
         """Stored rows, deleted ones included, of all or of the given buckets."""
         known = commit.versions.get(entity.name, {})
         wanted = known if buckets is None else {str(b): known[str(b)] for b in buckets if str(b) in known}
-        layout = _version_schema(entity)
+        layout = state.version_schema(entity).add("bucket", T.IntegerType())
         if not wanted:
             return self.spark.createDataFrame([], layout)
         paths = [
@@ -254,15 +254,3 @@ class ChangeStore:
         for number in dropped:
             self.folder.delete("commits", f"{number:012d}.json")
         return deleted
-
-
-def _version_schema(entity: Entity) -> T.StructType:
-    return T.StructType(
-        [
-            *entity.schema.fields,
-            T.StructField(state.DELETED, T.BooleanType()),
-            T.StructField(state.PARTITION, T.IntegerType()),
-            T.StructField(state.OFFSET, T.LongType()),
-            T.StructField("bucket", T.IntegerType()),
-        ]
-    )
