@@ -242,7 +242,7 @@ ORACLE_SQL: dict[str, str] = {
             WHEN 'products' THEN '{{"product_id":"' || user_id || '","product_name":"item ' || user_id
                 || '","category":"' || event_type || '","unit_price":' || value || '}}'
             WHEN 'orders' THEN '{{"order_id":' || user_id || ',"customer_id":' || k || ',"order_ts":"'
-                || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z","status":"' || event_type
+                || replace(CAST(ts AS VARCHAR), ' ', 'T') || 'Z","status":"' || event_type
                 || '","total_amount":' || value || '}}'
             WHEN 'order_items' THEN '{{"order_item_id":' || user_id || ',"order_id":' || event_id
                 || ',"product_id":' || k || ',"quantity":' || (k % 3 + 1) || ',"unit_price":' || value

@@ -23,11 +23,14 @@ def from_millis(millis: Column) -> Column:
 
 
 def to_micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
+    # timestampdiff() would go through the zoned type; a difference of zone-free times does not.
+    seconds = (ts - _epoch()).cast("interval second").cast("decimal(18,6)")
+    return (seconds * F.lit(MICROS)).cast("long")
 
 
 def to_millis(ts: Column) -> Column:
-    return F.floor(to_micros(ts) / F.lit(1000))
+    micros = to_micros(ts)
+    return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000))
 
 
 def day_start(ts: Column) -> Column:

@@ -114,7 +114,7 @@ def change_messages(events: DataFrame) -> DataFrame:
         "orders": F.struct(
             user.alias("order_id"),
             number.alias("customer_id"),
-            F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("order_ts"),
+            F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z")).alias("order_ts"),
             kind.alias("status"),
             amount.alias("total_amount"),
         ),
