@@ -57,8 +57,12 @@ def _route_steps() -> tuple[list[Column], ...]:
     ]
     head = [F.col("*"), F.try_variant_get("doc", "$", "struct<op:variant,ts_ms:variant>").alias("head")]
     stamp = F.col("head.ts_ms")
-    read_stamp = coerce.to_id(stamp)
-    unreadable = stamp.isNotNull() & ~F.is_variant_null(stamp) & read_stamp.isNull()
+    fields = [
+        F.col("*"),
+        coerce.to_text(F.col("head.op")).alias("op"),
+        coerce.to_id(stamp).alias("event_ts_ms"),
+    ]
+    unreadable = stamp.isNotNull() & ~F.is_variant_null(stamp) & F.col("event_ts_ms").isNull()
     reason = (
         F.when(F.col("payload").isNull(), "invalid utf-8")
         .when(F.col("doc").isNull(), "invalid json")
@@ -67,18 +71,12 @@ def _route_steps() -> tuple[list[Column], ...]:
     )
     routed = [
         F.when(F.col("reason").isNull(), LOG).otherwise(QUARANTINE).alias("route"),
-        F.col("entity"),
-        F.col("kafka_topic"),
-        F.col("kafka_partition"),
-        F.col("kafka_offset"),
-        coerce.to_text(F.col("head.op")).alias("op"),
-        read_stamp.alias("event_ts_ms"),
-        F.col("payload"),
+        *[F.col(c) for c in LOG_COLUMNS if c != "processed_at"],
         F.col("reason"),
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("raw_value"),
         time.now().alias("processed_at"),
     ]
-    return parsed, head, [F.col("*"), reason.alias("reason")], routed
+    return parsed, head, fields, [F.col("*"), reason.alias("reason")], routed
 
 
 def log_rows(routed: DataFrame) -> DataFrame:

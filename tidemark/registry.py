@@ -59,9 +59,7 @@ def _state(name: str) -> Query:
 def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as a stream of messages into a store; the resulting orders table."""
     configure(spark)
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    # A pattern, as a streamed path must not name a single file.
-    events = spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
+    events = testdata.event_stream(spark, folder)
     root = scratch_path(spark, "store")
     store = ChangeStore(spark, root)
     ingest_available(testdata.change_messages(events), store, f"{root}/checkpoint")
@@ -166,7 +164,7 @@ def _unique(tables: Tables) -> DataFrame:
 
 def _hourly_events(spark: SparkSession, folder: str) -> DataFrame:
     """The hourly mart's figures over the events table, which has times of day."""
-    events = configure(spark).read.parquet(f"{folder}/events.parquet")
+    events = testdata.events(configure(spark), folder)
     kept = F.col("event_type") != "error"
     return (
         events.groupBy(time.hour_start(F.col("ts")).alias("event_hour"))
@@ -200,7 +198,7 @@ def carts(events: DataFrame) -> DataFrame:
 def _order_bundle(spark: SparkSession, folder: str) -> DataFrame:
     """New orders from carts, one row per order with its payment and item ids."""
     tables = testdata.load(configure(spark), folder)
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = testdata.events(spark, folder)
     orders, items, payments = mutations.new_orders(carts(events), tables)
     held = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items"),

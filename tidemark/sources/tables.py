@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Callable, Iterable
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,27 +11,46 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import ENTITIES
 
+Source = DataFrame | Callable[[], DataFrame]
+
 
-@dataclass(frozen=True)
 class Tables:
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    payments: DataFrame
+    """The five current tables. One given as a function is read when first used."""
+
+    def __init__(
+        self, customers: Source, products: Source, orders: Source, order_items: Source, payments: Source
+    ):
+        self._sources: dict[str, Source] = {
+            "customers": customers,
+            "products": products,
+            "orders": orders,
+            "order_items": order_items,
+            "payments": payments,
+        }
+
+    def table(self, name: str) -> DataFrame:
+        source = self._sources[name]
+        if callable(source):
+            source = self._sources[name] = source()
+        return source
+
+    customers = property(lambda self: self.table("customers"))
+    products = property(lambda self: self.table("products"))
+    orders = property(lambda self: self.table("orders"))
+    order_items = property(lambda self: self.table("order_items"))
+    payments = property(lambda self: self.table("payments"))
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(name, getattr(self, name)) for name in ENTITIES]
+        return [(name, self.table(name)) for name in ENTITIES]
 
 
 def read_tables(spark: SparkSession, folder: str) -> Tables:
     """Parquet tables `<folder>/<entity>` with their declared columns."""
-    return Tables(
-        **{
-            name: spark.read.schema(entity.schema).parquet(f"{folder.rstrip('/')}/{name}")
-            for name, entity in ENTITIES.items()
-        }
-    )
+
+    def read(name: str) -> DataFrame:
+        return spark.read.schema(ENTITIES[name].schema).parquet(f"{folder.rstrip('/')}/{name}")
+
+    return Tables(**{name: partial(read, name) for name in ENTITIES})
 
 
 def catalog_tables(spark: SparkSession) -> Tables:
@@ -40,7 +58,7 @@ def catalog_tables(spark: SparkSession) -> Tables:
     missing = missing_tables(spark)
     if missing:
         raise LookupError(f"missing tables: {', '.join(missing)}")
-    return Tables(**{name: spark.table(entity.table) for name, entity in ENTITIES.items()})
+    return Tables(**{name: partial(spark.table, entity.table) for name, entity in ENTITIES.items()})
 
 
 def register_views(tables: Tables) -> None:

@@ -19,8 +19,30 @@ EVENT_ENTITIES = ("customers", "products", "orders", "order_items", "payments")
 EVENT_OPS = {"signup": "c", "error": "d"}
 
 
+# The columns of the test tables in use. Declared, so that no file is opened before
+# the query runs.
+SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "events")
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    # A pattern, as a streamed path must not name a single file.
+    return spark.readStream.schema(SCHEMAS["events"]).parquet(f"{folder}/event[s].parquet")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,13 +97,12 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load(spark: SparkSession, folder: str) -> Tables:
-    placed = orders(spark, folder)
     return Tables(
-        customers=customers(spark, folder),
-        products=products(spark, folder),
-        orders=placed,
-        order_items=order_items(spark, folder),
-        payments=payments_from_orders(placed),
+        customers=lambda: customers(spark, folder),
+        products=lambda: products(spark, folder),
+        orders=lambda: orders(spark, folder),
+        order_items=lambda: order_items(spark, folder),
+        payments=lambda: payments_from_orders(orders(spark, folder)),
     )
 
 
@@ -162,4 +183,4 @@ def _envelope(after: Column) -> Column:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    return change_messages(_table(spark, folder, "events"))
+    return change_messages(events(spark, folder))
