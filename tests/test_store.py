@@ -75,6 +75,15 @@ def test_replayed_batch_is_skipped(spark, root):
     assert store.current("orders").count() == 1
 
 
+def test_topic_made_anew(spark, root):
+    store = ChangeStore(spark, root, buckets=2)
+    rows = [upsert("orders", 500, {"order_id": 1, "customer_id": 1}), delete("orders", 501, 2)]
+    store.apply_batch(frame(spark, rows), 0, "first")
+    rows = [upsert("orders", 0, {"order_id": i, "customer_id": 7}) for i in (1, 2)]
+    store.apply_batch(frame(spark, rows), 0, "second")
+    assert {k: v[0] for k, v in order_rows(store.current("orders")).items()} == {1: 7, 2: 7}
+
+
 def test_failed_batch_is_invisible_and_repeatable(spark, root, monkeypatch):
     store = ChangeStore(spark, root, buckets=2)
     first = [upsert("orders", 0, {"order_id": 1, "customer_id": 1}), upsert("products", 0, {"product_id": 1})]
@@ -83,10 +92,10 @@ def test_failed_batch_is_invisible_and_repeatable(spark, root, monkeypatch):
 
     merge = ChangeStore._merge
 
-    def fail_on_products(self, batch, commit, entity, number):
+    def fail_on_products(self, batch, commit, entity, number, stream):
         if entity.name == "products":
             raise RuntimeError("lost")
-        return merge(self, batch, commit, entity, number)
+        return merge(self, batch, commit, entity, number, stream)
 
     monkeypatch.setattr(ChangeStore, "_merge", fail_on_products)
     with pytest.raises(RuntimeError):

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidemark.operators.decode import DELETE, UPSERT
 from tidemark.schemas import Entity
 
-DELETED, PARTITION, OFFSET = "_deleted", "_partition", "_offset"
+DELETED, STREAM, PARTITION, OFFSET = "_deleted", "_stream", "_partition", "_offset"
 
 
 def version_schema(entity: Entity) -> T.StructType:
@@ -18,6 +18,7 @@ def version_schema(entity: Entity) -> T.StructType:
         [
             *entity.schema.fields,
             T.StructField(DELETED, T.BooleanType()),
+            T.StructField(STREAM, T.LongType()),
             T.StructField(PARTITION, T.IntegerType()),
             T.StructField(OFFSET, T.LongType()),
         ]
@@ -28,14 +29,15 @@ def versioned_columns(entity: Entity) -> list[str]:
     return version_schema(entity).fieldNames()
 
 
-def latest_changes(changes: DataFrame, entity: Entity) -> DataFrame:
+def latest_changes(changes: DataFrame, entity: Entity, stream: str = "") -> DataFrame:
     """The last change of every key, deletions kept as marked rows.
 
-    max_by combines before the shuffle, so a key with very many changes sends one row per task.
+    `stream` names the sequence of batches that the offsets belong to. max_by combines before the shuffle, so a key with very many changes sends one row per task.
     """
     row = F.struct(
         *[c for c in entity.column_names if c != entity.key],
         (F.col("action") == DELETE).alias(DELETED),
+        F.xxhash64(F.lit(stream)).alias(STREAM),
         F.col("kafka_partition").alias(PARTITION),
         F.col("kafka_offset").alias(OFFSET),
     )
@@ -60,10 +62,13 @@ def live_rows(versioned: DataFrame, entity: Entity) -> DataFrame:
 def _newer(stored: str, incoming: str) -> Column:
     """Whether the incoming row replaces the stored one.
 
-    Offsets are comparable within a partition only; there an older or equal one is a redelivery.
-    A key arriving from another partition (after a repartitioned topic) is taken as newer.
+    Offsets are comparable within a partition of one stream only; there an older or equal one is
+    a redelivery. A key from another partition (of a repartitioned topic) or from another stream
+    (of a query started anew, perhaps on a topic made anew) is taken as newer.
     """
-    same = F.col(f"{stored}.{PARTITION}") == F.col(f"{incoming}.{PARTITION}")
+    same = F.lit(True)
+    for name in (STREAM, PARTITION):
+        same = same & (F.col(f"{stored}.{name}") == F.col(f"{incoming}.{name}"))
     older = F.col(f"{incoming}.{OFFSET}") <= F.col(f"{stored}.{OFFSET}")
     return F.col(stored).isNull() | ~F.coalesce(same & older, F.lit(False))
 
@@ -103,6 +108,7 @@ def as_versions(state: DataFrame, entity: Entity) -> DataFrame:
     return state.select(
         *entity.column_names,
         F.lit(False).alias(DELETED),
+        F.lit(None).cast("long").alias(STREAM),
         F.lit(-1).alias(PARTITION),
         F.lit(-1).cast("long").alias(OFFSET),
     )

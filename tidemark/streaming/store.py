@@ -62,9 +62,9 @@ class Commit:
 class ChangeStore:
     """A root folder with one writer at a time; any number of readers.
 
-    `skip_seen` drops messages at or below the highest logged offset of their partition. Use it
-    for sources that deliver each partition in order: a query restarted without its checkpoint
-    then logs nothing twice.
+    `skip_seen` drops messages at or below the highest logged offset of their partition, so a query
+    restarted without its checkpoint logs nothing twice. It is for sources that deliver each
+    partition in order, and must be off once for a topic that was made anew and counts from 0.
     """
 
     def __init__(
@@ -171,7 +171,7 @@ class ChangeStore:
         # The tables are independent of each other: their jobs run side by side.
         with ThreadPoolExecutor(max_workers=len(ENTITIES)) as pool:
             merge = inheritable_thread_target(self.spark)(self._merge)
-            touched = list(pool.map(lambda e: merge(batch, commit, e, number), changed))
+            touched = list(pool.map(lambda e: merge(batch, commit, e, number, stream), changed))
         for entity, buckets in zip(changed, touched):
             commit.versions.setdefault(entity.name, {}).update({str(b): number for b in buckets})
         commit.number = number
@@ -210,10 +210,12 @@ class ChangeStore:
             parts[key] = max(parts.get(key, -1), mark["last"])
         return sum(mark["logged"] for mark in marks)
 
-    def _merge(self, batch: DataFrame, commit: Commit, entity: Entity, number: int) -> list[int]:
+    def _merge(
+        self, batch: DataFrame, commit: Commit, entity: Entity, number: int, stream: str
+    ) -> list[int]:
         """Put a logged batch on top of an entity's table; gives the rewritten buckets."""
         log = batch.where((F.col("route") == decode.LOG) & (F.col("entity") == entity.name))
-        changes = state.latest_changes(decode.decode_changes(log, entity), entity)
+        changes = state.latest_changes(decode.decode_changes(log, entity), entity, stream)
         bucket = F.pmod(F.xxhash64(entity.key), F.lit(commit.buckets)).cast("int")
         changes = changes.withColumn("bucket", bucket).persist()
         try:
