@@ -136,10 +136,12 @@ def _decode_steps(entity: Entity, id_bits: int) -> tuple[list[Column], ...]:
     columns = entity.column_names
     defaults = dict(entity.defaults)
     position = [F.col("kafka_partition"), F.col("kafka_offset")]
+    is_delete = F.coalesce(F.col("op"), F.lit("")) == "d"
     parsed = [F.col("op"), *position, F.try_parse_json("payload").alias("doc")]
     images = [
         F.col("*"),
-        _image("before", [entity.key]).alias("before"),
+        # The earlier image only matters for deletions.
+        F.when(is_delete, _image("before", [entity.key])).alias("before"),
         _image("after", columns).alias("after"),
     ]
 
@@ -157,7 +159,7 @@ def _decode_steps(entity: Entity, id_bits: int) -> tuple[list[Column], ...]:
             value = F.when(field.isNull(), F.lit(defaults[name]).cast("long")).otherwise(value)
         return [value.alias(name)]
 
-    deletes = (F.coalesce(F.col("op"), F.lit("")) == "d") & _is_filled("before", [entity.key])
+    deletes = is_delete & _is_filled("before", [entity.key])
     times = {
         name: coerce.to_time(F.col(f"{name}__text"), F.col(f"{name}__number"))
         for name, kind in entity.columns

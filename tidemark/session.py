@@ -18,13 +18,24 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
+# Used unless the cluster sets its own value.
+TUNING = {
+    # The JVM does not compile methods over 8000 bytes. Decoding a wide entity generates more than
+    # that as one stage, and runs faster operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # At run time, once shuffled sizes are known, a join whose smaller side fits per partition
+    # hashes that side and saves sorting the larger one.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """The few settings the package depends on; everything else is left to the cluster."""
     # A JSON object with a repeated field keeps its last value.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    # The JVM does not compile methods over 8000 bytes. Decoding a wide entity generates more than
-    # that as one stage, and runs faster operator by operator.
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    for name, value in TUNING.items():
+        if not spark.sparkContext.getConf().contains(name):
+            spark.conf.set(name, value)
     return spark
 
 
