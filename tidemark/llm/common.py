@@ -19,6 +19,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Batches sent to Python hold at most this many bytes, whatever the length of the texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(most))
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame, written once to the shared folder and read back: a short plan, and rows that do
     not change when a lost executor's work is repeated."""
