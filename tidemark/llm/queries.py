@@ -6,11 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules
+from tidemark.llm import mixing, near_duplicates, packing, quality_rules
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Tokens in a packed sequence, and the id that ends a document.
+SEQUENCE = 1024
+END_ID = 2
+
+
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer's file, at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates.near_duplicates(docs, size=4, percent=80)
+
+
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = packing.pieces(docs, tokenizer_path("byte_bpe_50k.json"), END_ID, SEQUENCE)
+    return packing.pack(cut, SEQUENCE)
+
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
@@ -20,6 +47,9 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_entropy_mix": op2_entropy_mix,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -22,19 +23,46 @@ _OTHER_BLANKS = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0  -     　]
 _RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
+#: Bytes as the characters that stand for them in byte-level vocabularies: printable ones are
+#: themselves, the others follow from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {
+    b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_PLAIN))
+}
+_PROBES = ["a", "the", " of", "Under", " word", "ABC", "straße", " été", "ñandú", "Über", "漢字", " тест", "ab", "thereof"]
+
+
 class _Pieces(dict):
     """Ids by piece; an absent one is encoded and kept."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, drops_blanks: bool):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.drops_blanks = tokenizer, tokenizer.model, drops_blanks
+        self.short_cut = True
+        self.short_cut = all(self._letters(p) == self._whole(p) for p in _PROBES)
+
+    def _whole(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=ID).tobytes()
+
+    def _letters(self, piece: str) -> bytes:
+        """The ids of a piece of letters, which is merged as one; asking the model itself saves a third."""
+        word = piece
+        if self.drops_blanks:
+            word = piece.strip(" ").lower()
+        if not (self.short_cut and word.strip(" ").isalpha() and is_normalized("NFC", piece) and "Σ" not in piece):
+            return self._whole(piece)
+        if not word.isascii() or word[0] == " ":
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return np.array([t.id for t in self.model.tokenize(word)], dtype=ID).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         stem = piece.rstrip(_MARKS)
         if stem and stem != piece and stem[-1].isalpha():
             ids = self[stem] + self[piece[len(stem):]]
+        elif piece[-1:].isalpha():
+            ids = self._letters(piece)
         else:
-            ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=ID).tobytes()
+            ids = self._whole(piece)
         self[piece] = ids
         return ids
 
@@ -48,8 +76,8 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = _Pieces(self.tokenizer)
         self.drops_blanks = not self.tokenizer.encode(" \n ", add_special_tokens=False).ids
+        self.pieces = _Pieces(self.tokenizer, self.drops_blanks)
         self.vocabulary = self.tokenizer.get_vocab_size()
 
     def encode(self, text: str) -> bytes:
