@@ -13,6 +13,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", stages.quality_rules),
+    ("quality_classifier", stages.quality_classifier),
+    ("near_duplicates", stages.near_duplicates),
+    ("mixing", stages.mixing),
+    ("packing", stages.packing),
 ]
 
 #: Trained scores and estimates by Newton steps cannot be put in SQL; tests compare with plain Python.

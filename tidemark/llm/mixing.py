@@ -97,10 +97,11 @@ def _repaired(classes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source",
-        weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken for every row."""
+        weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken and the columns to keep for every row."""
+    keep = keep or []
     size = F.size(words(F.coalesce(F.col(text).cast("string"), F.lit("")))).cast("long")
-    sized = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), _key(source).alias("key"), size.alias("size")), "mix-sizes")
+    sized = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), _key(source).alias("key"), size.alias("size"), *[F.col(k).alias(f"_r{i}") for i, k in enumerate(keep)]), "mix-sizes")
     classes = sized.groupBy("key", "size").agg(F.first("source").alias("source"), F.count(F.lit(1)).alias("n"))
     per_source = classes.groupBy("key").agg(
         F.first("source").alias("source"), F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("n_docs"))
@@ -129,4 +130,5 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     rows = ranked(sized, ["key", "size"], order, F.xxhash64("doc_id", F.lit(1)), ROWS_PER_PART, "rank")
     copies = F.coalesce(F.col("whole") + F.when(F.col("rank") < F.col("extra"), 1).otherwise(0), F.lit(0)).cast("long")
     return rows.join(copied, ["key", "size"], "left").join(aimed.select("key", "source_size", "target"), "key").select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"),
+        *[F.col(f"_r{i}").alias(k) for i, k in enumerate(keep)])

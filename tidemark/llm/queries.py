@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, near_duplicates, packing, quality_rules
+from tidemark.llm import mixing, near_duplicates, packing, quality_classifier, quality_rules
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,12 @@ def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quadratic_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality_classifier.score(docs, table(spark, folder, "labels"), ["doc_id"], parts=3, part=1)
+    return scored.select("doc_id", quality_classifier.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+
+
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near_duplicates.near_duplicates(docs, size=4, percent=80)
@@ -48,6 +55,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_entropy_mix": op2_entropy_mix,
+    "op3_quadratic_quality": op3_quadratic_quality,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,

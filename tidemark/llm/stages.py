@@ -1,29 +1,85 @@
-"""The stages of the corpus pipeline: each applies one operator to all that the stage before kept."""
+"""The stages of the corpus pipeline: each applies one operator to all that the stage before kept.
+
+Verdicts come back to the documents by id and the digest of the text, nulls matching nulls, so that
+they also fit tables with repeated or null ids. Null and empty texts, ties and empty tables are as the
+operators define them; other columns pass through untouched.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import mixing as mixes
+from tidemark.llm import near_duplicates as near
+from tidemark.llm import packing as packs
+from tidemark.llm import quality_classifier as classifier
 from tidemark.llm import quality_rules as rules
+from tidemark.llm.common import table
+from tidemark.llm.queries import END_ID, SEQUENCE, tokenizer_path
+
+
+def _digest() -> Column:
+    return F.sha2(F.col("text"), 256)
+
 
+def _matching(docs: DataFrame, verdicts: DataFrame, names: list[str]) -> tuple[DataFrame, Column]:
+    """The verdicts under names that cannot clash, and the condition that joins them to the documents."""
+    renamed = verdicts.select([F.col(c).alias(f"_v_{c}") for c in verdicts.columns])
+    pairs = [(F.col(n), n) for n in names] + [(_digest(), "digest")]
+    return renamed, reduce(lambda a, b: a & b, [c.eqNullSafe(F.col(f"_v_{n}")) for c, n in pairs])
 
-def _kept(docs: DataFrame, verdicts: DataFrame, names: list[str]) -> DataFrame:
-    """The documents whose named columns and text stand among the verdicts, nulls matching nulls.
 
-    A verdict depends on these columns and the text alone, so repeated rows share it.
-    """
-    marked = verdicts.select(*[F.col(n).alias(f"_v_{n}") for n in names], F.col("_digest").alias("_v_digest")).distinct()
-    digest = F.sha2(F.col("text"), 256)
-    same = [F.col(n).eqNullSafe(F.col(f"_v_{n}")) for n in names] + [digest.eqNullSafe(F.col("_v_digest"))]
-    return docs.join(marked, reduce(lambda a, b: a & b, same), "left_semi")
+def _without(docs: DataFrame, rejected: DataFrame, names: list[str]) -> DataFrame:
+    renamed, same = _matching(docs, rejected.select(*names, "digest").distinct(), names)
+    return docs.join(renamed, same, "left_anti")
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """The documents with one row for each id and text. Only repeated rows, most often none, are compared."""
+    names = ["doc_id"]
+    repeated = docs.select("doc_id", _digest().alias("digest")).groupBy("doc_id", "digest").count().where("count > 1").drop("count")
+    renamed, same = _matching(docs, repeated, names)
+    single = docs.join(renamed, same, "left_anti")
+    several = docs.join(renamed, same, "left_semi").withColumn("_v_digest", _digest())
+    return single.unionByName(several.dropDuplicates(["doc_id", "_v_digest"]).drop("_v_digest"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     names = ["doc_id", "lang", "source"]
-    marked = docs.select(*names, "text", F.sha2("text", 256).alias("_digest"))
-    verdicts = rules.judge(marked, [*names, "_digest"])
-    return _kept(docs, verdicts.where("kept"), names)
+    marked = docs.select(*names, "text", _digest().alias("digest"))
+    return _without(docs, rules.judge(marked, [*names, "digest"]).where("not kept"), names)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more for quality."""
+    marked = docs.select("doc_id", "text", _digest().alias("digest"))
+    scored = classifier.score(marked, table(spark, sf_dir, "labels"), ["doc_id", "digest"])
+    return _without(docs, scored.where("predicted = 0"), ["doc_id"])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: that with the least id. Rows without an id stay once per text,
+    unless their group has a row with one."""
+    found = near.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80)
+    dropped = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_v_doc_id")).distinct()
+    return _once(docs.join(dropped, F.col("doc_id") == F.col("_v_doc_id"), "left_anti"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; repeated rows are taken together."""
+    marked = docs.select("doc_id", "source", "text", _digest().alias("digest"))
+    taken = mixes.mix(marked, keep=["digest"])
+    copies = taken.groupBy("doc_id", "source", "digest").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    renamed, same = _matching(docs, copies, ["doc_id", "source"])
+    rows = _once(docs).join(renamed, same)
+    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_v_copies").cast("int"))).alias("_v_copy")).drop("_v_copy")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the mixed documents with their places in sequences."""
+    cut = packs.pieces(docs.select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"), END_ID, SEQUENCE)
+    return packs.pack(cut, SEQUENCE)
