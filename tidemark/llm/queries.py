@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, near_duplicates, packing, quality_classifier, quality_rules
+from tidemark.llm import (
+    licenses,
+    mixing,
+    near_duplicates,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    token_files,
+    topk,
+    toxicity,
+)
 from tidemark.llm.common import table
+from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +36,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.search(rows, lambda vec_id: vec_id % 20 == 0, k=20, scale=64)
+
+
 def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -35,6 +52,12 @@ def op3_quadratic_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", quality_classifier.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
 
 
+def op4_recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, table(spark, folder, "labels"), ["doc_id"], parts=4, part=2, threshold=0.3)
+    return scored.select("doc_id", quality_classifier.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near_duplicates.near_duplicates(docs, size=4, percent=80)
@@ -46,6 +69,19 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(cut, SEQUENCE)
 
 
+def op7_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return sharding.assign(docs, shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op8_license_digests(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.known_digests(spark))
+    return found.select("doc_id", "license", F.array_join("part_licenses", " ").alias("part_licenses"), "n_parts", "n_rows")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     return quality_rules.judge(docs, ["doc_id"]).select(
@@ -53,12 +89,19 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_indexed_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    store = scratch_path(spark, "tokens")
+    manifest = token_files.write(docs, store, tokenizer_path("word_bpe_49k.json"), END_ID)
+    return token_files.read(spark, manifest, store)
+
+
 QUERIES: dict[str, Query] = {
-    "op2_entropy_mix": op2_entropy_mix,
-    "op3_quadratic_quality": op3_quadratic_quality,
-    "op5_near_duplicates": op5_near_duplicates,
-    "op6_best_fit_packing": op6_best_fit_packing,
-    "op9_quality_rules": op9_quality_rules,
+    query.__name__: query
+    for query in (
+        op1_exact_top_k, op2_entropy_mix, op3_quadratic_quality, op4_recurrent_toxicity, op5_near_duplicates, op6_best_fit_packing,
+        op7_balanced_shards, op8_license_digests, op9_quality_rules, op10_indexed_tokens,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}

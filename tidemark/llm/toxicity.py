@@ -360,14 +360,14 @@ def _scored(params: Params | None, base: float, keep: list[str]):
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, used: Column) -> list[tuple[str, int]]:
-    """Up to SAMPLE_DOCS labelled texts of each class, drawn by a hash of the id."""
+    """Up to SAMPLE_DOCS labelled texts of each class, drawn by a hash of the id; equal texts once."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
     rows = docs.where(used & (F.length("_t") <= SAMPLE_CHARS)).join(known, "_id")
-    found = []
+    found: dict[str, int] = {}  # copies of one text would teach its rare words
     for c in (0, 1):
         drawn = rows.where(F.col("_label") == c).orderBy(F.xxhash64("_id"), "_id", "_t").limit(SAMPLE_DOCS)
-        found += [(r["_t"], c) for r in drawn.select("_t").collect() if r["_t"].split()]
-    return found
+        found |= {r["_t"]: c for r in drawn.select("_t").collect() if r["_t"].split()}
+    return list(found.items())
 
 
 def score(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "toxic", text: str = "text", doc_id: str = "doc_id",
