@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm.conftest import AWKWARD, doc, prose
+from tidemark.llm import near_duplicates as near
+from tidemark.llm.components import components
+from tidemark.llm.shingles import shingle_sets
+
+
+def plain_sets(rows, size=4):
+    found = []
+    for row in rows:
+        text = row[1] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        grams = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+        found.append(grams if len(words) >= size else ({tuple(words)} if words else set()))
+    return found
+
+
+def brute_force(rows):
+    """component_id per row, over all pairs."""
+    sets = plain_sets(rows)
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared and 100 * shared >= 80 * len(sets[i] | sets[j]) or rows[i][0] is not None and rows[i][0] == rows[j][0] and sets[i] and sets[j]:
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, row in enumerate(rows):
+        if row[0] is not None:
+            least[find(i)].append(row[0])
+    return [(row[0], len(sets[i]), (min(least[find(i)]) if least[find(i)] else None) if sets[i] else row[0]) for i, row in enumerate(rows)]
+
+
+def changed(text, share, rng):
+    return " ".join(rng.choice(["qua", "zul", "vix"]) + str(rng.randrange(999)) if rng.random() < share else w for w in text.split())
+
+
+def check(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size long, kept string, label int, digest string, rank int")
+    got = near.near_duplicates(frame.repartition(3)).collect()
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got], key=key) == sorted(brute_force(rows), key=key)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+
+
+def test_groups_of_every_kind(spark):
+    rng = random.Random(4)
+    rows = [doc(i, prose(100 + i, rng.randrange(3, 90))) for i in range(40)]
+    base = prose(77, 120)
+    rows += [doc(100 + i, base) for i in range(6)]  # exact copies
+    rows += [doc(200 + i, changed(base, i / 250, rng)) for i in range(30)]  # near copies, some too far for a link
+    text = prose(78, 100).split()
+    rows += [doc(300 + i, " ".join(text[i * 3 :] + [f"end{k}" for k in range(i * 3)])) for i in range(12)]  # a chain
+    rows += [doc(400, base.upper()), doc(401, "  ".join(base.split()))]
+    check(spark, rows)
+
+
+def test_awkward_rows(spark):
+    check(spark, AWKWARD)
+
+
+def test_nothing(nothing):
+    assert near.near_duplicates(nothing).count() == 0
+
+
+def test_sets_match_words():
+    rows = [*AWKWARD, doc(20, "A b C\vd e\fa b c d"), doc(21, "É é Ω " + "long" * 50 + " end")]
+    found = {}
+    for at, hashes, sizes in shingle_sets(pa.array([r[1] for r in rows]), 4):
+        for i, part in enumerate(np.split(hashes, np.cumsum(sizes)[:-1])):
+            found[at + i] = set(part.tolist())
+    sets = plain_sets(rows)
+    for i in range(len(rows)):
+        for j in range(len(rows)):
+            assert len(found[i] & found[j]) == len(sets[i] & sets[j])
+
+
+def test_block_counts():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, 25).astype(np.uint64)) for _ in range(9)]
+    counts = near.shared_counts(sets[:4], sets[4:], np.arange(60, dtype=np.uint64))
+    assert counts.tolist() == [[len(np.intersect1d(a, b)) for b in sets[4:]] for a in sets[:4]]
+
+
+def test_min_max_estimates_similarity():
+    rng = np.random.default_rng(2)
+    shared = rng.integers(0, 1 << 63, 800).astype(np.uint64)
+    own = rng.integers(0, 1 << 63, (2, 100)).astype(np.uint64)
+    hashes = np.concatenate([shared, own[0], shared, own[1]])
+    slots = near.min_max(hashes, np.array([0, 900]))
+    assert abs((slots[:, :, 0] == slots[:, :, 1]).mean() - 0.8) < 0.15
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(40), rng.randrange(40)) for _ in range(25)] + [(100 + i, 101 + i) for i in range(30)] + [(7, 7)]
+    parent = {}
+
+    def find(i):
+        parent.setdefault(i, i)
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        if a != b:
+            parent[find(a)] = find(b)
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    groups = defaultdict(set)
+    for node, label in got.items():
+        groups[label].add(node)
+    expected = defaultdict(set)
+    for node in parent:
+        expected[find(node)].add(node)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))

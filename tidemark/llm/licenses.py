@@ -26,7 +26,7 @@ SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("per cent", "percent"), ("while", "whilst"), ("https://", "http://"), ("(c)", "copyright"),
     ("©", "copyright"),
 ]
-_COPYRIGHT_LINE = r"(?m)^[\s#*/;-]*(copyright|\(c\)|©)[^\n]*(\d{4}|all rights reserved)[^\n]*$|^[\s#*/;-]*all rights reserved\.?\s*$"
+COPYRIGHT_LINE = r"(?m)^[\s#*/;-]*(copyright|\(c\)|©)[^\n]*(\d{4}|all rights reserved)[^\n]*$|^[\s#*/;-]*all rights reserved\.?\s*$"
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
 files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
@@ -87,7 +87,7 @@ def known_texts() -> list[tuple[str, str]]:
 
 def canonical(text: Column) -> Column:
     text = F.lower(text)
-    lines = F.when(text.contains("copyright") | text.contains("(c)") | text.contains("©") | text.contains("rights"), F.regexp_replace(text, _COPYRIGHT_LINE, " ")).otherwise(text)
+    lines = F.when(text.contains("copyright") | text.contains("(c)") | text.contains("©") | text.contains("rights"), F.regexp_replace(text, COPYRIGHT_LINE, " ")).otherwise(text)
     for old, new in SPELLINGS:
         lines = F.replace(lines, F.lit(old), F.lit(new))
     return F.trim(F.regexp_replace(lines, r"[^\p{L}\p{N}]+", " "))

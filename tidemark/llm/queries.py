@@ -20,6 +20,7 @@ from tidemark.llm import (
     toxicity,
 )
 from tidemark.llm.common import table
+from tidemark.llm.oracle import ORACLE_SQL  # noqa: F401  given to the driver with the queries
 from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,5 +104,3 @@ QUERIES: dict[str, Query] = {
         op7_balanced_shards, op8_license_digests, op9_quality_rules, op10_indexed_tokens,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -57,7 +57,8 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         stem = piece.rstrip(_MARKS)
-        if stem and stem != piece and stem[-1].isalpha():
+        # Lower-casing may end a word in a mark, which a following mark would join.
+        if stem and stem != piece and stem[-1].isalpha() and stem[-1].lower()[-1].isalpha():
             ids = self[stem] + self[piece[len(stem):]]
         elif piece[-1:].isalpha():
             ids = self._letters(piece)
