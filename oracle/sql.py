@@ -38,7 +38,7 @@ WITH d_customers AS (
     FROM orders
 ), d_items AS (
     SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
-           l_extendedprice AS line_amount
+           l_extendedprice / l_quantity AS unit_price, l_extendedprice AS line_amount
     FROM lineitem
 ), d_payments AS (
     SELECT order_id AS payment_id, order_id, order_ts + INTERVAL 5 MINUTE AS payment_ts,
@@ -47,6 +47,15 @@ WITH d_customers AS (
     FROM d_orders
 )"""
 
+# Table and columns per entity.
+COLUMNS = {
+    "customers": ("d_customers", "customer_id customer_name city signup_ts loyalty_tier"),
+    "products": ("d_products", "product_id product_name category unit_price"),
+    "orders": ("d_orders", "order_id customer_id order_ts status total_amount"),
+    "order_items": ("d_items", "order_item_id order_id product_id quantity unit_price line_amount"),
+    "payments": ("d_payments", "payment_id order_id payment_ts payment_status amount"),
+}
+
 KEPT = "CASE WHEN o.status <> 'canceled' THEN o.total_amount ELSE 0 END"
 KEPT_ONLY = "CASE WHEN o.status <> 'canceled' THEN o.total_amount END"
 KEPT_LINE = "CASE WHEN o.status <> 'canceled' THEN i.line_amount ELSE 0 END"
@@ -216,6 +225,11 @@ ORACLE_SQL: dict[str, str] = {
                {money_sum('i.line_amount')} AS amount
         FROM {STAR} WHERE {SELECTED} GROUP BY 1, 2, 3""",
     "empty_filter": f"{DOMAIN} SELECT count(*) AS lines FROM {STAR} WHERE {NOTHING}",
+    "top_products_first": f"""{DOMAIN}
+        SELECT p.product_id, p.product_name, p.category, CAST(sum(i.quantity) AS BIGINT) AS units_sold,
+               {money_sum(KEPT_LINE)} AS revenue
+        FROM d_items i JOIN d_orders o ON i.order_id = o.order_id JOIN d_products p ON i.product_id = p.product_id
+        GROUP BY ALL ORDER BY revenue DESC NULLS LAST, p.product_id LIMIT 10""",
     "payment_mix": f"""{DOMAIN}
         SELECT payment_status, count(*) AS payment_count, {money_sum('amount')} AS amount
         FROM d_payments GROUP BY 1""",
@@ -317,13 +331,17 @@ ORACLE_SQL: dict[str, str] = {
     "order_total_reconcile": f"""{DOMAIN}, totals AS (
             SELECT order_id, {money_sum('line_amount')} AS line_total, count(*) AS line_count
             FROM d_items GROUP BY order_id)
-        SELECT o.order_id, o.total_amount, t.line_total, t.line_count,
-               ({cents('t.line_total')} - {cents('o.total_amount')}) / 100.0::DOUBLE AS difference
-        FROM d_orders o JOIN totals t ON o.order_id = t.order_id""",
+        SELECT o.order_id, o.total_amount,
+               CASE WHEN t.order_id IS NULL THEN 0.0::DOUBLE ELSE t.line_total END AS line_total,
+               coalesce(t.line_count, 0) AS line_count,
+               ({cents('CASE WHEN t.order_id IS NULL THEN 0.0::DOUBLE ELSE t.line_total END')} - {cents('o.total_amount')})
+                   / 100.0::DOUBLE AS difference
+        FROM d_orders o LEFT JOIN totals t ON o.order_id = t.order_id""",
     "next_keys": f"""{DOMAIN}
         SELECT 'customers' AS table_name, coalesce(max(customer_id), 0) + 1 AS next_key FROM d_customers
         UNION ALL SELECT 'products', coalesce(max(product_id), 0) + 1 FROM d_products
         UNION ALL SELECT 'orders', coalesce(max(order_id), 0) + 1 FROM d_orders
+        UNION ALL SELECT 'order_items', 1
         UNION ALL SELECT 'payments', coalesce(max(payment_id), 0) + 1 FROM d_payments""",
     "new_order_bundle": f"""{DOMAIN}, bought AS (
             SELECT event_id AS cart, user_id AS customer_id, ts AS order_ts,
@@ -371,9 +389,34 @@ ORACLE_SQL: dict[str, str] = {
             SELECT product_id FROM d_products GROUP BY 1 HAVING count(*) > 1)
         UNION ALL SELECT 'unique_orders_order_id', count(*) FROM (
             SELECT order_id FROM d_orders GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'unique_order_items_order_item_id', 0
         UNION ALL SELECT 'unique_payments_payment_id', count(*) FROM (
             SELECT payment_id FROM d_payments GROUP BY 1 HAVING count(*) > 1))
         SELECT check_name, failures, failures <> 0 AS should_warn, failures <> 0 AS should_error FROM failures""",
+    "dq_not_null_tables": f"""{DOMAIN}, failures AS ({" UNION ALL ".join(
+        f"SELECT 'not_null_{name}_{column}' AS check_name, count(*) - count({column}) AS failures FROM {table}"
+        if column != "order_item_id" else f"SELECT 'not_null_{name}_{column}' AS check_name, count(*) AS failures FROM {table}"
+        for name, (table, columns) in COLUMNS.items() for column in columns.split())})
+        SELECT check_name, failures, failures <> 0 AS should_warn, failures <> 0 AS should_error FROM failures""",
+    "cdc_closed_loop": f"""{DOMAIN}, items AS (
+            SELECT l_orderkey * 100 + l_linenumber AS id, max(l_orderkey) AS order_id, max(l_partkey) AS product_id
+            FROM lineitem GROUP BY 1)
+        SELECT 'customers' AS entity, customer_id AS key,
+               CASE WHEN customer_id % 5 = 0 THEN 'Gold' ELSE loyalty_tier END AS state FROM d_customers
+        UNION ALL SELECT 'products', product_id, category FROM d_products WHERE product_id % 13 <> 0
+        UNION ALL SELECT 'orders', order_id, CASE WHEN order_id % 7 = 0 THEN 'refunded' WHEN status = 'placed' THEN 'shipped'
+                                                  ELSE status END FROM d_orders WHERE order_id % 11 <> 0
+        UNION ALL SELECT 'order_items', id, CAST(product_id AS VARCHAR) FROM items WHERE order_id % 11 <> 0
+        UNION ALL SELECT 'payments', payment_id, CASE WHEN order_id % 7 = 0 THEN 'refunded' ELSE payment_status END
+        FROM d_payments""",
+    "cdc_quarantine": f"""{EVENTS}
+        SELECT entity, CASE event_id % 50 WHEN 2 THEN 'invalid json' WHEN 3 THEN 'invalid utf-8'
+                                          ELSE 'missing or unreadable key' END AS reason, count(*) AS messages
+        FROM log WHERE event_id % 50 IN (2, 3, 4) GROUP BY 1, 2""",
+    "cdc_log_stored": f"""{EVENTS}
+        SELECT entity, 'shop.public.' || entity AS kafka_topic, part AS kafka_partition, event_id AS kafka_offset,
+               CASE WHEN event_id % 50 = 4 THEN 'u' ELSE op END AS op, true AS timed
+        FROM log WHERE event_id % 50 NOT IN (1, 2, 3)""",
     "load_counts": f"""{DOMAIN}
         SELECT 'customers' AS table_name, count(*) AS row_count FROM d_customers
         UNION ALL SELECT 'products', count(*) FROM d_products

@@ -11,6 +11,8 @@ from tests.small_tables import empty_tables, rows, tables
 from tidemark.operators import capture, decode, mutations, numbering, quality, sampling, state
 from tidemark.schemas import ENTITIES
 from tidemark.sources.tables import row_counts, show_tables, to_pandas
+from tidemark.sources.changes import file_stream
+from tidemark.streaming.ingest import ingest_available
 from tidemark.streaming.store import ChangeStore
 
 
@@ -40,9 +42,28 @@ def test_snapshot_then_changes_through_a_store(spark, tmp_path):
         assert same(store.current(name), source), name
     for number, (name, entity) in enumerate(ENTITIES.items()):
         source = valid.get(name, getattr(before, name))
-        events = capture.diff_events(source, after[name], entity, "shop.public", partitions=2)
-        store.apply_batch(events, number, "changes")
+        events = capture.diff_events(source, after[name], entity, "shop.public", partitions=2, capture=1)
+        store.apply_batch(events, len(ENTITIES) + number, "snapshot")
         assert same(store.current(name), after[name]), name
+    for number, (name, entity) in enumerate(ENTITIES.items()):
+        source = valid.get(name, getattr(before, name))
+        events = capture.diff_events(after[name], source, entity, "shop.public", partitions=2, capture=2)
+        store.apply_batch(events, 2 * len(ENTITIES) + number, "snapshot")
+        assert same(store.current(name), source), name
+
+
+def test_captures_through_landed_files(spark, tmp_path):
+    source = tables(spark).products
+    versions = [source, mutations.uplift_prices(source), source.where("product_id <> 3")]
+    store = ChangeStore(spark, str(tmp_path / "store"), buckets=2)
+    for number, version in enumerate(versions):
+        events = (
+            capture.diff_events(versions[number - 1], version, ENTITIES["products"], "p", capture=number)
+            if number else capture.snapshot_events(version, ENTITIES["products"], "p")
+        )
+        events.write.mode("append").parquet(str(tmp_path / "in"))
+        ingest_available(file_stream(spark, str(tmp_path / "in")), store, str(tmp_path / "checkpoint"))
+        assert same(store.current("products"), version)
 
 
 def test_snapshot_rows_that_break_rules_are_rejected(spark):
@@ -54,7 +75,7 @@ def test_snapshot_rows_that_break_rules_are_rejected(spark):
 
 def test_diff_of_equal_tables_is_empty(spark):
     source = tables(spark)
-    assert capture.diff_events(source.orders, source.orders, ENTITIES["orders"], "p").count() == 0
+    assert capture.diff_events(source.orders, source.orders, ENTITIES["orders"], "p", capture=1).count() == 0
 
 
 def test_progression(spark):
@@ -136,6 +157,23 @@ def test_new_orders_are_consistent(spark):
     assert [r["difference"] for r in checked.collect()] == [0.0, 0.0]
 
 
+def test_a_cart_of_two_customers_is_two_orders(spark):
+    carts = spark.createDataFrame(
+        [("c", 1, 1, 1), ("c", 2, 2, 1), ("c", None, 3, 1)], "cart string, customer_id long, product_id long, quantity long"
+    ).withColumn("order_ts", F.expr("TIMESTAMP_NTZ '2024-05-01 10:00:00'"))
+    orders, items, payments = mutations.new_orders(carts, tables(spark))
+    assert (orders.count(), items.count(), payments.count()) == (3, 3, 3)
+    assert {r["difference"] for r in mutations.reconcile_totals(orders, items).collect()} == {0.0}
+
+
+def test_orders_without_lines_reconcile_to_zero(spark):
+    source = tables(spark)
+    checked = mutations.reconcile_totals(source.orders, source.order_items)
+    assert checked.count() == 60
+    empty = [r for r in checked.collect() if r["line_count"] == 0]
+    assert empty and all(r["line_total"] == 0 for r in empty)
+
+
 def test_random_k_is_repeatable(spark):
     frame = spark.range(500)
     first = {r["id"] for r in sampling.random_k(frame, 20, "id", 1).collect()}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from oracle.sql import ORACLE_SQL
+from tidemark.registry import QUERIES
 from tests.oracle_compare import compare, connect
 
 
@@ -14,13 +16,14 @@ def duck(folder):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, folder, duck, name):
-    assert compare(queries()[name](spark, folder), duck, oracle_sql()[name]) == []
+    assert compare(QUERIES[name](spark, folder), duck, ORACLE_SQL[name]) == []

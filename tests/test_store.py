@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.changes import delete, fold_orders, frame, message, order_rows, upsert
 from tests.test_state import random_messages
@@ -48,8 +49,8 @@ def test_streamed_in_batches(spark, root, tmp_path):
     ingest_available(source, store, f"{root}/checkpoint")
     assert order_rows(store.current("orders")) == fold_orders(messages + more)
     assert (store.log().count(), store.commit().number) == (290, 3)
-    # Another query over the same files, without the checkpoint: seen offsets are skipped.
-    again = ChangeStore(spark, root, skip_seen=True)
+    # Another query over the same files, without the checkpoint: logged messages are left out.
+    again = ChangeStore(spark, root)
     ingest_available(source, again, f"{root}/checkpoint-2")
     assert again.log().count() == 290
     assert order_rows(again.current("orders")) == fold_orders(messages + more)
@@ -75,15 +76,53 @@ def test_replayed_batch_is_skipped(spark, root):
     assert store.current("orders").count() == 1
 
 
-def test_topic_made_anew(spark, root):
+def test_topic_that_counts_from_0_again(spark, root):
     store = ChangeStore(spark, root, buckets=2)
     rows = [upsert("orders", 500, {"order_id": 1, "customer_id": 1}), delete("orders", 501, 2)]
     store.apply_batch(frame(spark, rows), 0, "first")
-    rows = [upsert("orders", 0, {"order_id": i, "customer_id": 7}) for i in (1, 2)]
+    rows = [upsert("orders", i, {"order_id": i, "customer_id": 7}) for i in (1, 2)]
     store.apply_batch(frame(spark, rows), 0, "second")
     assert {k: v[0] for k, v in order_rows(store.current("orders")).items()} == {1: 7, 2: 7}
 
 
+def test_each_message_counts_once_in_any_order(spark, root):
+    """Offsets that come late are applied; messages that come again, in a batch or later, are not."""
+    store = ChangeStore(spark, root, buckets=2)
+    late = upsert("orders", 5, {"order_id": 2, "customer_id": 2})
+    first = upsert("orders", 10, {"order_id": 1, "customer_id": 1})
+    second = upsert("orders", 11, {"order_id": 1, "customer_id": 3})
+    bad = message("orders", 12, "{bad")
+    store.apply_batch(frame(spark, [first, first, bad]), 0)
+    store.apply_batch(frame(spark, [late, second]), 1)
+    store.apply_batch(frame(spark, [first, bad, late]), 2)
+    assert sorted(r["kafka_offset"] for r in store.log().collect()) == [5, 10, 11]
+    assert store.quarantine().count() == 1
+    assert {k: v[0] for k, v in order_rows(store.current("orders")).items()} == {1: 3, 2: 2}
+
+
+def test_topics_do_not_share_offsets(spark, root):
+    store = ChangeStore(spark, root, buckets=2)
+    one = upsert("orders", 100, {"order_id": 1, "customer_id": 1})
+    other = ("b.orders", *upsert("orders", 3, {"order_id": 1, "customer_id": 2})[1:])
+    store.apply_batch(frame(spark, [one]), 0)
+    store.apply_batch(frame(spark, [other]), 1)
+    assert order_rows(store.current("orders"))[1][0] == 2
+
+
+def test_latest_events_when_the_clock_goes_back(spark, root):
+    store = ChangeStore(spark, root, buckets=2)
+    for number in range(3):
+        batch = [upsert("orders", 10 * number + i, {"order_id": i, "customer_id": 1}) for i in range(3)]
+        store.apply_batch(frame(spark, batch), number)
+    path = store.folder.path("log", "batch=2")
+    held = store._read_log("log", "batch=2").withColumn("processed_at", F.expr("TIMESTAMP_NTZ '2001-01-01 00:00:00'"))
+    changed = spark.createDataFrame(held.collect(), held.schema).drop("batch")
+    changed.write.mode("overwrite").partitionBy("route", "entity").parquet(path)
+    expected = [22, 21, 20, 12, 11, 10]
+    assert [r["kafka_offset"] for r in store.latest_events(6).collect()] == expected
+    assert [r["kafka_offset"] for r in store.latest_events(100).collect()][:6] == expected
+
+
 def test_failed_batch_is_invisible_and_repeatable(spark, root, monkeypatch):
     store = ChangeStore(spark, root, buckets=2)
     first = [upsert("orders", 0, {"order_id": 1, "customer_id": 1}), upsert("products", 0, {"product_id": 1})]
@@ -92,10 +131,10 @@ def test_failed_batch_is_invisible_and_repeatable(spark, root, monkeypatch):
 
     merge = ChangeStore._merge
 
-    def fail_on_products(self, batch, commit, entity, number, stream):
+    def fail_on_products(self, batch, commit, entity, number):
         if entity.name == "products":
             raise RuntimeError("lost")
-        return merge(self, batch, commit, entity, number, stream)
+        return merge(self, batch, commit, entity, number)
 
     monkeypatch.setattr(ChangeStore, "_merge", fail_on_products)
     with pytest.raises(RuntimeError):

@@ -33,7 +33,6 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--files", metavar="FOLDER")
     ingest.add_argument("--topic-prefix", help="with --kafka: topics are <prefix>.<entity>")
     ingest.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="for a new store")
-    ingest.add_argument("--skip-seen", action="store_true", help="drop offsets that were logged before")
     ingest.add_argument("--interval", help='run on, e.g. "30 seconds"; by default take what is there and end')
 
     build = commands.add_parser("build")
@@ -69,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
             messages = changes.kafka_stream(spark, args.kafka, changes.topics(args.topic_prefix))
         else:
             messages = changes.file_stream(spark, args.files)
-        store = ChangeStore(spark, args.store, args.buckets, args.skip_seen)
+        store = ChangeStore(spark, args.store, args.buckets)
         query = start_ingest(messages, store, args.checkpoint, args.interval)
         try:
             query.awaitTermination()

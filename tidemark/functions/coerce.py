@@ -19,6 +19,7 @@ ISO_TEXT = (
     r"(?:.(\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
     r"(?:[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)?)?$"
 )
+_WEEK_DATE = r"^\d{4}-W(0[1-9]|[1-4]\d|5[0-3])-[1-7]([Tt ].*)?$"
 PLAIN_TEXT = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:(?:\s+|[Tt])(\d{1,2}):(\d{1,2}):(\d{1,2}))?$"
 EDGE_SPACE = r"^\s+|\s+$"
 
@@ -106,13 +107,26 @@ def _whole_thousands(number: Column) -> Column:
 
 def text_to_time(text: Column) -> Column:
     """ISO 8601 text, or else a plain date and time in the first 19 characters."""
-    zoned = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+    zoned = F.replace(_week_date(text), F.lit("Z"), F.lit("+00:00"))
     return F.coalesce(
         _rewritten(zoned, ISO_TEXT, "$1-$3-$4 $5:$7:$8.$9"),
         _rewritten(F.substring(text, 1, 19), PLAIN_TEXT, "$1-$2-$3 $4:$5:$6."),
     )
 
 
+def _week_date(text: Column) -> Column:
+    """The date in front of an ISO week date, YYYY-Www-D, as YYYY-MM-DD; other text unchanged."""
+    year, week = F.substring(text, 1, 4).try_cast("int"), F.substring(text, 7, 2).try_cast("int")
+    day = F.substring(text, 10, 1).try_cast("int")
+    fourth = F.make_date(year, F.lit(1), F.lit(4))  # always in week 1
+    monday = F.date_sub(fourth, F.weekday(fourth))
+    found = F.date_add(monday, (week - 1) * 7 + day - 1)
+    # Week 53 exists where the year's last Thursday is in it.
+    real = (week <= 52) | (F.year(F.date_add(monday, 52 * 7 + 3)) == year)
+    shown = F.concat(F.date_format(found, "yyyy-MM-dd"), F.substring(text, 11, 1 << 20))
+    return F.when(text.rlike(_WEEK_DATE), F.when(real, shown)).otherwise(text)
+
+
 def _rewritten(text: Column, pattern: str, layout: str) -> Column:
     # The added alternative turns text that does not match into one that is no timestamp. Absent
     # parts leave gaps, for example "10::." for "10"; they become zeros.

@@ -1,10 +1,12 @@
 """Sums and means of two-decimal amounts that do not depend on row order.
 
 Amounts are stored as doubles, so adding them directly gives a different last digit for each
-partitioning. Every amount that is a whole number of cents is added as an integer instead. The
-integer is split at bit 20 into two long sums, which stay in range for about 8e12 rows per group;
-a decimal sum would be exact too, but costs roughly three times as much per row. Amounts that are
-not whole cents (or not finite) are added as doubles in a third sum, which is 0 otherwise.
+partitioning. Every amount below 9e12 that is a whole number of cents is added as an integer instead. The
+integer is split at bit 20 into two long sums. The low one stays in range for 8e12 rows per group; the
+high one for 1e10 rows if all amounts are near 9e12, and for 9e15 / (largest amount) * 1e6 rows below that.
+A decimal sum would be exact too, but costs roughly three times as much per row. Larger amounts and those
+not in whole cents (or not finite) are added as doubles in a third sum, which is 0 otherwise; a
+group with such amounts is exact to the last digits only, in an order that partitions decide.
 
 The three sums can be added up again, so a total can be built in stages: per customer first, then
 per city.

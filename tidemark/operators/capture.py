@@ -21,10 +21,29 @@ def _image(entity: Entity, side: str) -> Column:
     )
 
 
-def _messages(pairs: DataFrame, entity: Entity, op: Column, prefix: str, ts_ms: int | None, partitions: int) -> DataFrame:
+# Bits of an offset: the capture's number, then the task, then the row in the task.
+_TASK_BITS, _ROW_BITS, _ID_ROW_BITS = 17, 30, 33
+
+
+def _offset(capture: int) -> Column:
+    """Offsets above those of every capture with a smaller number."""
+    if not 0 <= capture < 1 << 16:
+        raise ValueError("captures are numbered from 0 to 65535")
+    number = F.monotonically_increasing_id()
+    task, row = F.shiftright(number, _ID_ROW_BITS), number.bitwiseAND(F.lit((1 << _ID_ROW_BITS) - 1))
+    fits = (task < 1 << _TASK_BITS) & (row < 1 << _ROW_BITS)
+    placed = F.lit(capture << (_TASK_BITS + _ROW_BITS)) + F.shiftleft(task, _ROW_BITS) + row
+    return F.when(fits, placed).otherwise(F.raise_error(F.lit("too many tasks or rows per task in one capture")).cast("long"))
+
+
+def _messages(
+    pairs: DataFrame, entity: Entity, op: Column, prefix: str, ts_ms: int | None, partitions: int, capture: int
+) -> DataFrame:
     """Messages for rows with structs `before` and `after`, partitioned by key.
 
-    Offsets rise within a partition but have gaps; one call gives each key at most one message.
+    Offsets rise within a partition but have gaps; one call gives each key at most one message. Each
+    capture of a topic needs a number of its own, greater than those before: messages with equal
+    topic, partition and offset are the same message delivered again.
     """
     before, after = F.col("before").isNotNull(), F.col("after").isNotNull()
     stamp = time.to_millis(time.now()) if ts_ms is None else F.lit(ts_ms)
@@ -38,19 +57,19 @@ def _messages(pairs: DataFrame, entity: Entity, op: Column, prefix: str, ts_ms:
     return pairs.select(
         F.lit(f"{prefix}.{entity.name}").alias("topic"),
         F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int").alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        _offset(capture).alias("offset"),
         F.to_json(envelope, {"ignoreNullFields": "false"}).cast("binary").alias("value"),
     )
 
 
 def snapshot_events(
-    table: DataFrame, entity: Entity, prefix: str, ts_ms: int | None = None, partitions: int = 16
+    table: DataFrame, entity: Entity, prefix: str, ts_ms: int | None = None, partitions: int = 16, capture: int = 0
 ) -> DataFrame:
-    """Every row as an op "r" message."""
+    """Every row as an op "r" message: capture number 0, unless others came before."""
     rows = F.struct(*entity.column_names)
     layout = entity.schema
     pairs = table.select(F.lit(None).cast(layout).alias("before"), rows.alias("after"))
-    return _messages(pairs, entity, F.lit(SNAPSHOT), prefix, ts_ms, partitions)
+    return _messages(pairs, entity, F.lit(SNAPSHOT), prefix, ts_ms, partitions, capture)
 
 
 def table_changes(old: DataFrame, new: DataFrame, entity: Entity) -> DataFrame:
@@ -63,16 +82,23 @@ def table_changes(old: DataFrame, new: DataFrame, entity: Entity) -> DataFrame:
         .when(F.col("after").isNull(), REMOVE)
         .otherwise(UPDATE)
     )
-    return (
-        left.join(right, F.col("_old_key") == F.col("_new_key"), "full")
-        .where(~F.col("before").eqNullSafe(F.col("after")))
-        .select(op.alias("op"), "before", "after")
+    # Rows without a key match nothing; in the join they would all meet in one task.
+    kept = ["before", "after"]
+    layout = entity.schema
+    paired = left.where("_old_key IS NOT NULL").join(right.where("_new_key IS NOT NULL"), F.col("_old_key") == F.col("_new_key"), "full").select(*kept)
+    loose = left.where("_old_key IS NULL").select("before", F.lit(None).cast(layout).alias("after")).union(
+        right.where("_new_key IS NULL").select(F.lit(None).cast(layout).alias("before"), "after")
     )
+    return paired.union(loose).where(~F.col("before").eqNullSafe(F.col("after"))).select(op.alias("op"), *kept)
 
 
 def diff_events(
-    old: DataFrame, new: DataFrame, entity: Entity, prefix: str, ts_ms: int | None = None, partitions: int = 16
+    old: DataFrame, new: DataFrame, entity: Entity, prefix: str, ts_ms: int | None = None, partitions: int = 16,
+    *, capture: int,
 ) -> DataFrame:
-    """Create, update and delete messages that lead from one version of a table to another."""
+    """Create, update and delete messages that lead from one version of a table to another.
+
+    `capture` is the number of this difference among the captures of the topic, the snapshot being 0.
+    """
     changes = table_changes(old, new, entity)
-    return _messages(changes, entity, F.col("op"), prefix, ts_ms, partitions)
+    return _messages(changes, entity, F.col("op"), prefix, ts_ms, partitions, capture)

@@ -20,6 +20,8 @@ from tidemark.schemas import ID, LOG_COLUMNS, MONEY, TEXT, TIME, Entity
 
 UPSERT, DELETE, REJECT, IGNORE = "upsert", "delete", "reject", "ignore"
 LOG, QUARANTINE = "log", "quarantine"
+#: What identifies a message, and its order within a batch.
+POSITION = ("kafka_topic", "kafka_partition", "kafka_offset")
 
 # JSON texts that count as absent, besides zero in any spelling.
 _EMPTY_TEXTS = ("null", "false", '""', "[]", "{}")
@@ -35,12 +37,22 @@ def route_messages(messages: DataFrame) -> DataFrame:
     """One row per message with a value: `route` says whether it belongs in the log.
 
     Messages without a value are dropped. A row that cannot be logged (not UTF-8, not JSON, not
-    an object, unreadable ts_ms) keeps its raw bytes and a reason.
+    an object, unreadable ts_ms) keeps its raw bytes and a reason. A filter on the topic belongs before
+    this step: later ones stay above it.
     """
+    return computed_once(_routed(messages))
+
+
+def _routed(messages: DataFrame) -> DataFrame:
     routed = messages.where(F.col("value").isNotNull())
     for columns in _route_steps():
         routed = routed.select(*columns)
-    return computed_once(routed)
+    return routed
+
+
+def of_entity(messages: DataFrame, entity: str) -> DataFrame:
+    """The messages of one entity's topics."""
+    return messages.where(entity_of(F.col("topic")) == entity)
 
 
 @cache
@@ -135,7 +147,7 @@ def _decode_steps(entity: Entity, id_bits: int) -> tuple[list[Column], ...]:
     """
     columns = entity.column_names
     defaults = dict(entity.defaults)
-    position = [F.col("kafka_partition"), F.col("kafka_offset")]
+    position = [F.col(c) for c in POSITION]
     is_delete = F.coalesce(F.col("op"), F.lit("")) == "d"
     parsed = [F.col("op"), *position, F.try_parse_json("payload").alias("doc")]
     images = [
@@ -200,6 +212,6 @@ def rejected_rows(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFram
     """Positions of logged changes of one entity that could not be applied."""
     changes = decode_changes(log.where(F.col("entity") == entity.name), entity, id_bits)
     return changes.where(F.col("action") == REJECT).select(
-        F.lit(entity.name).alias("entity"), "kafka_partition", "kafka_offset",
+        F.lit(entity.name).alias("entity"), *POSITION,
         F.lit("missing or unreadable key").alias("reason"),
     )

@@ -6,6 +6,8 @@ into change messages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,15 +107,16 @@ def order_totals(items: DataFrame) -> DataFrame:
 
 
 def reconcile_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Stated against summed total per order that has lines."""
+    """Stated against summed total per order; an order without lines sums to 0."""
     return (
         orders.select("order_id", "total_amount")
-        .join(order_totals(items), "order_id")
+        .join(order_totals(items), "order_id", "left")
+        .withColumn("line_total", F.when(F.col("line_count").isNull(), 0.0).otherwise(F.col("line_total")))
         .select(
             "order_id",
             "total_amount",
             "line_total",
-            "line_count",
+            F.coalesce("line_count", F.lit(0)).cast("long").alias("line_count"),
             ((money.cents(F.col("line_total")) - money.cents(F.col("total_amount"))) / F.lit(100.0)).alias(
                 "difference"
             ),
@@ -124,20 +127,23 @@ def reconcile_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
 def new_orders(carts: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders, items and payments for carts, with ids continuing the tables'.
 
-    Carts have one row per line: `cart`, `customer_id`, `order_ts`, `product_id`, `quantity`. Lines
-    of unknown products are left out. Orders are placed, payments paid five minutes later.
+    Carts have one row per line: `cart`, `customer_id`, `order_ts`, `product_id`, `quantity`. An order is
+    what one customer buys in one cart at one time. Lines of unknown products are left out. Orders are placed, payments paid five minutes later.
     """
     lines = price_lines(carts, tables.products)
     heads = lines.groupBy("cart", "customer_id", "order_ts").agg(
         *money.sum_parts(F.col("line_amount"), "line")
     )
-    placed = number_rows(heads, tables.orders, "order_id", ["cart"]).withColumn(
+    head = ["cart", "customer_id", "order_ts"]
+    placed = number_rows(heads, tables.orders, "order_id", head).withColumn(
         "total_amount", money.total("line")
     )
     orders = placed.select(
         "order_id", "customer_id", "order_ts", F.lit("placed").alias("status"), "total_amount"
     )
-    owned = lines.join(placed.select("cart", "order_id"), "cart")
+    owners = placed.select("order_id", *[F.col(c).alias(f"_{c}") for c in head])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in head])
+    owned = lines.join(owners, same).drop(*[f"_{c}" for c in head])
     items = number_rows(owned, tables.order_items, "order_item_id", ["order_id", "product_id"])
     paid = number_rows(payments_from_orders(orders).drop("payment_id"), tables.payments, "payment_id", ["order_id"])
     return (

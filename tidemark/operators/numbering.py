@@ -22,7 +22,7 @@ def number_rows(rows: DataFrame, table: DataFrame, key: str, order_by: list[str]
     """Rows with `key` counting on from the largest one in `table`, in the given order.
 
     Rows are range-partitioned and numbered inside each partition. The checkpoint fixes which row
-    is where; only the row count per partition comes to the driver.
+    is where; the partitions' first numbers are a small table, joined back.
     """
     checkpoint_root(rows.sparkSession)
     placed = (
@@ -32,10 +32,16 @@ def number_rows(rows: DataFrame, table: DataFrame, key: str, order_by: list[str]
         .checkpoint()
     )
     part = F.shiftright("_place", _ROW_BITS)
-    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
     start = next_key(table, key).first()["next_key"]
-    counts = [sizes.get(i, 0) for i in range(max(sizes, default=-1) + 1)]
-    firsts = list(accumulate(counts, initial=start))
-    offset = F.get(F.array(*[F.lit(first).cast("long") for first in firsts]), part.cast("int"))
+    firsts = accumulate((r["n"] for r in sizes), initial=start)
+    known = rows.sparkSession.createDataFrame(
+        [(r["_part"], first) for r, first in zip(sizes, firsts)], "_part long, _first long"
+    )
     within = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1).cast("long"))
-    return placed.withColumn(key, offset + within).drop("_place")
+    return (
+        placed.withColumn("_part", part)
+        .join(known, "_part")
+        .withColumn(key, F.col("_first") + within)
+        .drop("_place", "_part", "_first")
+    )

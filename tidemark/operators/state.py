@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.decode import DELETE, UPSERT
+from tidemark.operators.decode import DELETE, POSITION, UPSERT
 from tidemark.schemas import Entity
 
-DELETED, STREAM, PARTITION, OFFSET = "_deleted", "_stream", "_partition", "_offset"
+DELETED, TOPIC, PARTITION, OFFSET = "_deleted", "_topic", "_partition", "_offset"
 
 
 def version_schema(entity: Entity) -> T.StructType:
@@ -18,7 +18,7 @@ def version_schema(entity: Entity) -> T.StructType:
         [
             *entity.schema.fields,
             T.StructField(DELETED, T.BooleanType()),
-            T.StructField(STREAM, T.LongType()),
+            T.StructField(TOPIC, T.StringType()),
             T.StructField(PARTITION, T.IntegerType()),
             T.StructField(OFFSET, T.LongType()),
         ]
@@ -29,22 +29,22 @@ def versioned_columns(entity: Entity) -> list[str]:
     return version_schema(entity).fieldNames()
 
 
-def latest_changes(changes: DataFrame, entity: Entity, stream: str = "") -> DataFrame:
+def latest_changes(changes: DataFrame, entity: Entity) -> DataFrame:
     """The last change of every key, deletions kept as marked rows.
 
-    `stream` names the sequence of batches that the offsets belong to. max_by combines before the shuffle, so a key with very many changes sends one row per task.
+    Within a batch, topics count in the order of their names, then partitions, then offsets; a key's
+    changes normally share a topic and a partition. max_by combines before the shuffle, so a key with
+    very many changes sends one row per task.
     """
     row = F.struct(
         *[c for c in entity.column_names if c != entity.key],
         (F.col("action") == DELETE).alias(DELETED),
-        F.xxhash64(F.lit(stream)).alias(STREAM),
-        F.col("kafka_partition").alias(PARTITION),
-        F.col("kafka_offset").alias(OFFSET),
+        *[F.col(c).alias(name) for c, name in zip(POSITION, (TOPIC, PARTITION, OFFSET))],
     )
     # Rows that do not apply get no position and so never win. A filter in front would be pushed
     # below the decoding and parse every payload twice.
     position = F.when(
-        F.col("action").isin(UPSERT, DELETE), F.struct("kafka_partition", "kafka_offset")
+        F.col("action").isin(UPSERT, DELETE), F.struct(*POSITION)
     )
     return (
         changes.groupBy(entity.key)
@@ -59,26 +59,14 @@ def live_rows(versioned: DataFrame, entity: Entity) -> DataFrame:
     return versioned.where(~F.col(DELETED)).select(*entity.column_names)
 
 
-def _newer(stored: str, incoming: str) -> Column:
-    """Whether the incoming row replaces the stored one.
-
-    Offsets are comparable within a partition of one stream only; there an older or equal one is
-    a redelivery. A key from another partition (of a repartitioned topic) or from another stream
-    (of a query started anew, perhaps on a topic made anew) is taken as newer.
-    """
-    same = F.lit(True)
-    for name in (STREAM, PARTITION):
-        same = same & (F.col(f"{stored}.{name}") == F.col(f"{incoming}.{name}"))
-    older = F.col(f"{incoming}.{OFFSET}") <= F.col(f"{stored}.{OFFSET}")
-    return F.col(stored).isNull() | ~F.coalesce(same & older, F.lit(False))
-
-
 def merge_versions(
     stored: DataFrame, incoming: DataFrame, entity: Entity, cluster_by: str | None = None
 ) -> DataFrame:
     """Stored rows with incoming ones put on top; both hold at most one row per key.
 
-    Deleted keys stay as marked rows, so an older upsert delivered again cannot revive them.
+    A later batch wins, whatever its topics and offsets: every message that is processed counts, in the order
+    of processing. Redelivered messages are no part of `incoming`: the log leaves them out. Deleted
+    keys stay as marked rows.
     With `cluster_by`, a column that is a function of the key, rows are shuffled once by it and
     come out in its order, ready for a partitioned write.
     """
@@ -97,10 +85,7 @@ def merge_versions(
         F.first("stored", ignorenulls=True).alias("stored"),
         F.first("incoming", ignorenulls=True).alias("incoming"),
     )
-    taken = F.col("incoming").isNotNull() & _newer("stored", "incoming")
-    return paired.select(
-        *keys, F.when(taken, F.col("incoming")).otherwise(F.col("stored")).alias("row")
-    ).select(*keys, "row.*")
+    return paired.select(*keys, F.coalesce("incoming", "stored").alias("row")).select(*keys, "row.*")
 
 
 def as_versions(state: DataFrame, entity: Entity) -> DataFrame:
@@ -108,7 +93,7 @@ def as_versions(state: DataFrame, entity: Entity) -> DataFrame:
     return state.select(
         *entity.column_names,
         F.lit(False).alias(DELETED),
-        F.lit(None).cast("long").alias(STREAM),
+        F.lit(None).cast("string").alias(TOPIC),
         F.lit(-1).alias(PARTITION),
         F.lit(-1).cast("long").alias(OFFSET),
     )

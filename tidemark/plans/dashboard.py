@@ -66,17 +66,15 @@ def star(tables: Tables, filters: Filters = Filters()) -> DataFrame:
     customers = filters.customers(tables.customers)
     products = filters.products(tables.products)
     items = tables.order_items.select("order_id", "product_id", "quantity", "line_amount")
-    return (
-        items.join(products, "product_id")
-        .join(orders, "order_id")
-        .join(customers, "customer_id")
-    )
+    # Orders meet customers first, so the lines are shuffled for products and orders only.
+    return items.join(products, "product_id").join(orders.join(customers, "customer_id"), "order_id")
 
 
 def filtered_orders(tables: Tables, filters: Filters = Filters()) -> DataFrame:
     """Orders that pass the filters and have a matching line, with `n_lines`.
 
-    The city filter is not applied here, see `order_facts`.
+    A city selection thins out the orders before they meet the lines. Without one, only orders without a
+    customer in a city would go, so that is left to `order_facts`, after adding up.
     """
     wanted = filters.products(tables.products).select("product_id")
     lines = (
@@ -85,7 +83,10 @@ def filtered_orders(tables: Tables, filters: Filters = Filters()) -> DataFrame:
         .groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
-    return filters.orders(tables.orders).join(lines, "order_id")
+    orders = filters.orders(tables.orders)
+    if filters.cities is not None:
+        orders = orders.join(filters.customers(tables.customers).select("customer_id"), "customer_id", "left_semi")
+    return orders.join(lines, "order_id")
 
 
 def _fact_sums(grain: str) -> list[Column]:
@@ -202,9 +203,11 @@ def top_products(tables: Tables, filters: Filters = Filters(), k: int = 10) -> D
         .select("order_id", "status")
     )
     status, amount = F.col("status"), F.col("line_amount")
+    lines = tables.order_items.select("order_id", "product_id", "quantity", "line_amount")
+    if filters.categories is not None:
+        lines = lines.join(filters.products(tables.products).select("product_id"), "product_id", "left_semi")
     sold = (
-        tables.order_items.select("order_id", "product_id", "quantity", "line_amount")
-        .join(orders, "order_id")
+        lines.join(orders, "order_id")
         .groupBy("product_id")
         .agg(F.sum("quantity").alias("units_sold"), *money.sum_parts(kept_amount(amount, status), "kept"))
     )
@@ -279,15 +282,14 @@ def payment_mix(tables: Tables) -> DataFrame:
 def payment_share(tables: Tables) -> DataFrame:
     """The mix with each status's share of the total in percent.
 
-    The total is a scalar subquery, not a window over all rows.
+    The total is added up from the grouped parts, whose shuffle serves both, so payments are read once.
     """
-    mix = payment_mix(tables)
-    whole = (
-        tables.payments.agg(*money.sum_parts(F.col("amount"), "paid"))
-        .select(money.total("paid").alias("whole"))
-        .scalar()
+    mix = tables.payments.groupBy("payment_status").agg(*money.sum_parts(F.col("amount"), "paid"))
+    whole = mix.agg(*money.resum_parts("paid")).select(money.total("paid").alias("whole")).scalar()
+    amounts = mix.select("payment_status", money.total("paid").alias("amount"))
+    return amounts.select("payment_status", "amount", _percent(F.col("amount"), whole).alias("share")).orderBy(
+        F.col("amount").desc_nulls_last(), F.col("payment_status").asc_nulls_last()
     )
-    return mix.select("payment_status", "amount", _percent(F.col("amount"), whole).alias("share"))
 
 
 def filter_options(tables: Tables) -> DataFrame:
@@ -305,14 +307,17 @@ def filter_options(tables: Tables) -> DataFrame:
 
 
 def date_bounds(tables: Tables) -> DataFrame:
-    """First and last order date, today for an empty table."""
+    """First and last order date, today (UTC) for an empty table."""
+    today = F.to_date(time.now())
     return tables.orders.agg(
-        F.coalesce(F.to_date(F.min("order_ts")), F.current_date()).alias("min_date"),
-        F.coalesce(F.to_date(F.max("order_ts")), F.current_date()).alias("max_date"),
+        F.coalesce(F.to_date(F.min("order_ts")), today).alias("min_date"),
+        F.coalesce(F.to_date(F.max("order_ts")), today).alias("max_date"),
     )
 
 
-def latest_events(log: DataFrame, k: int = 30) -> DataFrame:
+def latest_events(log: DataFrame, k: int = 30, newest_first: Iterable[str] = ()) -> DataFrame:
+    """The newest k log rows by the given columns, then by time of processing and offset."""
+    newest_first = list(newest_first)
     shown = log.select(
         "entity",
         "op",
@@ -321,8 +326,10 @@ def latest_events(log: DataFrame, k: int = 30) -> DataFrame:
         "kafka_offset",
         time.from_millis(F.col("event_ts_ms")).alias("event_ts"),
         "processed_at",
+        *newest_first,
     )
     return shown.orderBy(
+        *[F.col(c).desc() for c in newest_first],
         F.col("processed_at").desc_nulls_last(),
         F.col("kafka_offset").desc(),
         "kafka_topic",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +43,19 @@ def _on_tables(plan: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
-def _log(spark: SparkSession, folder: str) -> DataFrame:
-    return decode.log_rows(decode.route_messages(testdata.messages(configure(spark), folder)))
+def _log(spark: SparkSession, folder: str, entity: str | None = None) -> DataFrame:
+    """The events' log, of one entity if wanted: its topics are chosen before anything is parsed."""
+    messages = testdata.messages(configure(spark), folder)
+    if entity is not None:
+        messages = decode.of_entity(messages, entity)
+    return decode.log_rows(decode.route_messages(messages))
 
 
 def _state(name: str) -> Query:
     entity = ENTITIES[name]
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        log = _log(spark, folder).where(F.col("entity") == name)
+        log = _log(spark, folder, name)
         return state.live_rows(state.latest_changes(decode.decode_changes(log, entity), entity), entity)
 
     return run
@@ -66,6 +71,64 @@ def _streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
     return store.current("orders")
 
 
+def _stored_flawed(spark: SparkSession, folder: str) -> ChangeStore:
+    """A store fed with flawed messages in three batches, and with a part of them again in a fourth."""
+    messages = testdata.flawed_messages(testdata.events(configure(spark), folder))
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    for number in range(3):
+        store.apply_batch(messages.where(F.col("offset") % 3 == number), number)
+    store.apply_batch(messages.where(F.col("offset") % 7 == 0), 3)
+    return store
+
+
+def _quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    found = _stored_flawed(spark, folder).quarantine()
+    return found.groupBy("entity", "reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _stored_log(spark: SparkSession, folder: str) -> DataFrame:
+    log = _stored_flawed(spark, folder).log()
+    timed = F.col("processed_at").isNotNull().alias("timed")
+    return log.select("entity", "kafka_topic", "kafka_partition", "kafka_offset", "op", timed)
+
+
+def _loop_versions(tables: Tables, items: DataFrame) -> list[dict[str, DataFrame]]:
+    """Three versions of the five tables: as they are, with progress, with refunds and dearer products."""
+    first = {name: frame for name, frame in tables.items()} | {"order_items": items}
+    status = F.when(F.col("status") == "placed", "shipped").otherwise(F.col("status"))
+    orders = first["orders"].where(F.col("order_id") % 11 != 0).withColumn("status", status)
+    second = first | {
+        "orders": orders,
+        "order_items": first["order_items"].where(F.col("order_id") % 11 != 0),
+        "customers": first["customers"].withColumn("loyalty_tier", F.when(F.col("customer_id") % 5 == 0, "Gold").otherwise(F.col("loyalty_tier"))),
+    }
+    third = second | {
+        "orders": orders.withColumn("status", F.when(F.col("order_id") % 7 == 0, "refunded").otherwise(F.col("status"))),
+        "payments": first["payments"].withColumn("payment_status", F.when(F.col("order_id") % 7 == 0, "refunded").otherwise(F.col("payment_status"))),
+        "products": first["products"].where(F.col("product_id") % 13 != 0),
+    }
+    return [first, second, third]
+
+
+def _closed_loop(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot and two captured changes of all tables through one stream; what the store then holds."""
+    versions = _loop_versions(testdata.load(configure(spark), folder), testdata.keyed_items(spark, folder))
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    shown = {"customers": "loyalty_tier", "products": "category", "orders": "status", "order_items": "product_id", "payments": "payment_status"}
+    for number, tables in enumerate(versions):
+        captured = [
+            capture.diff_events(versions[number - 1][name], tables[name], entity, testdata.TOPIC_PREFIX, capture=number)
+            if number else capture.snapshot_events(tables[name], entity, testdata.TOPIC_PREFIX)
+            for name, entity in ENTITIES.items()
+        ]
+        store.apply_batch(reduce(DataFrame.unionByName, captured), number)
+    current = [
+        store.current(name).select(F.lit(name).alias("entity"), F.col(entity.key).alias("key"), F.col(shown[name]).cast("string").alias("state"))
+        for name, entity in ENTITIES.items()
+    ]
+    return reduce(DataFrame.unionByName, current)
+
+
 def _op_counts(spark: SparkSession, folder: str) -> DataFrame:
     log = _log(spark, folder)
     return log.groupBy("entity", "op").agg(F.count(F.lit(1)).alias("events"))
@@ -98,19 +161,19 @@ def _decoded_orders(messages: DataFrame) -> DataFrame:
 
 def _snapshot(tables: Tables) -> DataFrame:
     messages = capture.snapshot_events(tables.orders, ORDERS, testdata.TOPIC_PREFIX)
-    return _decoded_orders(messages).drop("kafka_partition", "kafka_offset")
+    return _decoded_orders(messages).drop(*decode.POSITION)
 
 
 def _diff(tables: Tables) -> DataFrame:
     messages = capture.diff_events(
-        _old_orders(tables), _new_orders(tables), ORDERS, testdata.TOPIC_PREFIX
+        _old_orders(tables), _new_orders(tables), ORDERS, testdata.TOPIC_PREFIX, capture=1
     )
-    return _decoded_orders(messages).drop("kafka_partition", "kafka_offset")
+    return _decoded_orders(messages).drop(*decode.POSITION)
 
 
 def _merged(tables: Tables) -> DataFrame:
     old, new = _old_orders(tables), _new_orders(tables)
-    changes = _decoded_orders(capture.diff_events(old, new, ORDERS, testdata.TOPIC_PREFIX))
+    changes = _decoded_orders(capture.diff_events(old, new, ORDERS, testdata.TOPIC_PREFIX, capture=1))
     return state.apply_changes(old, changes, ORDERS)
 
 
@@ -143,10 +206,9 @@ def _refund_propagation(tables: Tables) -> DataFrame:
 
 
 def _next_keys(tables: Tables) -> DataFrame:
-    keyed = [(n, f) for n, f in tables.items() if n != "order_items"]
     return quality.run_suite(
         numbering.next_key(frame, ENTITIES[name].key).withColumn("table_name", F.lit(name))
-        for name, frame in keyed
+        for name, frame in tables.items()
     )
 
 
@@ -155,10 +217,13 @@ def _not_null(tables: Tables) -> DataFrame:
 
 
 def _unique(tables: Tables) -> DataFrame:
+    return quality.run_suite(quality.unique(frame, name, ENTITIES[name].key) for name, frame in tables.items())
+
+
+def _not_null_tables(tables: Tables) -> DataFrame:
+    """Every column of the five tables."""
     return quality.run_suite(
-        quality.unique(frame, name, ENTITIES[name].key)
-        for name, frame in tables.items()
-        if name != "order_items"
+        quality.not_null(frame, name, ENTITIES[name].column_names) for name, frame in tables.items()
     )
 
 
@@ -227,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "city_filtered": _on_tables(lambda t: dashboard.revenue_by_city(t, SELECTED)),
     "city_order_grain": _on_tables(lambda t: dashboard.revenue_by_city(t, grain=ORDER)),
     "top_products_filtered": _on_tables(lambda t: dashboard.top_products(t, SELECTED)),
+    "top_products_first": _on_tables(lambda t: marts.MARTS["top_products"](t).limit(10)),
     "top_products_unfiltered": _on_tables(dashboard.top_products),
     "retention_by_tier": _on_tables(lambda t: dashboard.retention_by_tier(t, SELECTED)),
     "customer_order_window": _on_tables(lambda t: dashboard.orders_with_customer_count(t, SELECTED)),
@@ -249,6 +315,9 @@ QUERIES: dict[str, Query] = {
     "cdc_state_order_items": _state("order_items"),
     "cdc_state_payments": _state("payments"),
     "cdc_state_streamed": _streamed_orders,
+    "cdc_closed_loop": _closed_loop,
+    "cdc_quarantine": _quarantined,
+    "cdc_log_stored": _stored_log,
     "cdc_snapshot_events": _on_tables(_snapshot),
     "cdc_diff_events": _on_tables(_diff),
     "cdc_merge": _on_tables(_merged),
@@ -264,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "sample_k": _on_tables(lambda t: sampling.random_k(t.customers, 10, "customer_id", 42)),
     # Checks
     "dq_not_null": _on_tables(_not_null),
+    "dq_not_null_tables": _on_tables(_not_null_tables),
     "dq_unique": _on_tables(_unique),
     "load_counts": _load_counts,
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,13 +33,14 @@ def configure(spark: SparkSession) -> SparkSession:
     # A JSON object with a repeated field keeps its last value.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     for name, value in TUNING.items():
-        if not spark.sparkContext.getConf().contains(name):
+        # Whatever the cluster or the user has set, also at run time, stays.
+        if spark.conf.get(name, None) is None and not spark.sparkContext.getConf().contains(name):
             spark.conf.set(name, value)
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only for a local master without the setting."""
+    """The cluster's shared folder; below the warehouse only for a local master without the setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if root is None:
@@ -48,7 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        root = f"{warehouse}/_scratch/{context.applicationId}"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

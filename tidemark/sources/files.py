@@ -48,6 +48,14 @@ class Folder:
         if not fs.rename(draft, path):
             raise FileExistsError(f"could not publish {self.path(*parts)}")
 
+    def move(self, source: tuple, target: tuple) -> None:
+        """Rename a folder; the target must not exist."""
+        fs, path = self._resolve(*source)
+        _, goal = self._resolve(*target)
+        fs.mkdirs(goal.getParent())
+        if not fs.rename(path, goal):
+            raise FileExistsError(f"could not move to {self.path(*target)}")
+
     def delete(self, *parts: object) -> None:
         fs, path = self._resolve(*parts)
         fs.delete(path, True)

@@ -86,8 +86,8 @@ def row_counts(frames: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def to_pandas(result: DataFrame, max_rows: int = 100_000) -> pd.DataFrame:
-    """A result for display. Refuses, rather than cuts, one that is larger than expected."""
+def to_pandas(result: DataFrame, max_rows: int) -> pd.DataFrame:
+    """A result for display. Refuses, rather than cuts, one that is larger than the caller expects."""
     rows = result.limit(max_rows + 1).toPandas()
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; write it to storage instead")

@@ -32,8 +32,8 @@ SCHEMAS = {
 }
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+def _table(spark: SparkSession, folder: str, name: str, *more: str) -> DataFrame:
+    return spark.read.schema(", ".join([SCHEMAS[name], *more])).parquet(f"{folder}/{name}.parquet")
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,6 +96,18 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def keyed_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines under made-up keys: the order's number and the line's place, repeated lines once."""
+    lines = _table(spark, folder, "lineitem", "l_linenumber INT")
+    return lines.groupBy((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("order_item_id")).agg(
+        F.max("l_orderkey").alias("order_id"),
+        F.max("l_partkey").alias("product_id"),
+        F.max("l_quantity").cast("long").alias("quantity"),
+        F.lit(1.5).alias("unit_price"),
+        F.max("l_extendedprice").alias("line_amount"),
+    )
+
+
 def load(spark: SparkSession, folder: str) -> Tables:
     return Tables(
         customers=lambda: customers(spark, folder),
@@ -182,5 +194,21 @@ def _envelope(after: Column) -> Column:
     return F.to_json(image, {"ignoreNullFields": "false"})
 
 
+def flawed_messages(events: DataFrame) -> DataFrame:
+    """The events' messages, of every 50 one a tombstone, one broken JSON, one broken UTF-8, one
+    without a key, and one delivered twice."""
+    case = F.col("offset") % 50
+    value = (
+        F.when(case == 1, F.lit(None))
+        .when(case == 2, F.lit("{bad").cast("binary"))
+        .when(case == 3, F.lit(b"\xff\xfe"))
+        .when(case == 4, F.lit('{"op":"u","ts_ms":1,"after":{"note":"no key"}}').cast("binary"))
+        .otherwise(F.col("value"))
+    )
+    copies = F.explode(F.sequence(F.lit(1), F.when(case == 5, 2).otherwise(1)))
+    flawed = change_messages(events).select("topic", "partition", "offset", value.alias("value"), copies.alias("_copy"))
+    return flawed.drop("_copy")
+
+
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     return change_messages(events(spark, folder))

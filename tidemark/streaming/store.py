@@ -9,7 +9,8 @@ Layout below the root:
 Keys are hashed into a fixed number of buckets, and a batch rewrites only the buckets it touches.
 A batch becomes visible when its commit file appears, after the log and all tables are written; a
 batch that failed half-way is written again to the same folders. A commit also holds the last
-batch of each stream, so a batch delivered again is skipped.
+batch of each stream, so a batch delivered again is skipped. A message delivered again in another
+batch, which means equal topic, partition and offset, is left out of the log and so of the tables.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +54,8 @@ class Commit:
     versions: dict[str, dict[str, int]] = field(default_factory=dict)
     # stream id -> its last batch id
     streams: dict[str, int] = field(default_factory=dict)
-    # topic -> partition -> highest logged offset
-    offsets: dict[str, dict[str, int]] = field(default_factory=dict)
+    # topic -> partition -> lowest and highest offset in the log
+    offsets: dict[str, dict[str, list[int]]] = field(default_factory=dict)
     # newest batches and their log row counts, oldest first
     recent: list[tuple[int, int]] = field(default_factory=list)
 
@@ -62,17 +63,13 @@ class Commit:
 class ChangeStore:
     """A root folder with one writer at a time; any number of readers.
 
-    `skip_seen` drops messages at or below the highest logged offset of their partition, so a query
-    restarted without its checkpoint logs nothing twice. It is for sources that deliver each
-    partition in order, and must be off once for a topic that was made anew and counts from 0.
+    The log holds each message once. A topic that is made anew and counts from 0 again needs a new
+    name, as its messages would be taken for the old ones.
     """
 
-    def __init__(
-        self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS, skip_seen: bool = False
-    ):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
         self.spark = spark
         self.folder = Folder(spark, root)
-        self.skip_seen = skip_seen
         self._new_buckets = buckets
 
     # Commits
@@ -131,23 +128,32 @@ class ChangeStore:
     def quarantine(self) -> DataFrame:
         """Messages that could not be logged, and logged changes that could not be applied."""
         routed = self._routed(self.commit())
-        found = decode.unloggable_rows(routed).drop("kafka_topic", "raw_value")
+        found = decode.unloggable_rows(routed).drop("raw_value")
         for entity in ENTITIES.values():
             found = found.unionByName(decode.rejected_rows(decode.log_rows(routed), entity))
         return found
 
     def latest_events(self, k: int = 30) -> DataFrame:
-        """The newest k log rows, read from the newest batches that hold at least k."""
+        """The newest k log rows, a later batch being newer whatever its clock said.
+
+        That order lets the newest batches that hold k rows stand for the whole log; their folders are
+        read by name. With fewer rows in the noted batches the whole log is read, to the same result.
+        """
         commit = self.commit()
-        first, rows = None, 0
+        wanted, rows = [], 0
         for number, count in reversed(commit.recent):
-            first, rows = number, rows + count
+            wanted.append(number)
+            rows += count
             if rows >= k:
                 break
-        log = self._routed(commit).where(F.col("route") == decode.LOG)
         if rows >= k:
-            log = log.where(F.col("batch") >= first)
-        return dashboard.latest_events(log.select(*LOG_COLUMNS), k)
+            base = self.folder.path("log")
+            paths = [self.folder.path("log", f"batch={n}") for n in wanted]
+            routed = self.spark.read.schema(_ROUTED_SCHEMA).option("basePath", base).parquet(*paths)
+        else:
+            routed = self._routed(commit)
+        log = routed.where(F.col("route") == decode.LOG)
+        return dashboard.latest_events(log.select(*LOG_COLUMNS, "batch"), k, newest_first=["batch"])
 
     # Writing
 
@@ -157,21 +163,20 @@ class ChangeStore:
         if commit.streams.get(stream, -1) >= batch_id:
             return False
         number = commit.number + 1
-        if self.skip_seen:
-            messages = self._unseen(messages, commit)
-        self._write_log(messages, number)
-        batch = (
-            self.spark.read.schema(_ROUTED_SCHEMA)
-            .option("basePath", self.folder.path("log"))
-            .parquet(self.folder.path("log", f"batch={number}"))
-        )
-        logged = self._count_logged(batch, commit)
+        self._write_log(decode.route_messages(messages), "log", f"batch={number}")
+        batch = self._read_log("log", f"batch={number}")
+        marks = self._marks(batch)
+        if self._holds_repeats(batch, marks, commit):
+            self._drop_repeats(batch, marks, commit, number)
+            batch = self._read_log("log", f"batch={number}")
+            marks = self._marks(batch)
+        logged = self._note(marks, commit)
         present = set(self.folder.names("log", f"batch={number}", f"route={decode.LOG}"))
         changed = [e for e in ENTITIES.values() if f"entity={e.name}" in present]
         # The tables are independent of each other: their jobs run side by side.
         with ThreadPoolExecutor(max_workers=len(ENTITIES)) as pool:
             merge = inheritable_thread_target(self.spark)(self._merge)
-            touched = list(pool.map(lambda e: merge(batch, commit, e, number, stream), changed))
+            touched = list(pool.map(lambda e: merge(batch, commit, e, number), changed))
         for entity, buckets in zip(changed, touched):
             commit.versions.setdefault(entity.name, {}).update({str(b): number for b in buckets})
         commit.number = number
@@ -180,42 +185,70 @@ class ChangeStore:
         self.folder.publish_text(json.dumps(asdict(commit)), "commits", f"{number:012d}.json")
         return True
 
-    def _unseen(self, messages: DataFrame, commit: Commit) -> DataFrame:
-        seen = [(t, int(p), o) for t, parts in commit.offsets.items() for p, o in parts.items()]
-        if not seen:
-            return messages
-        # One row per topic partition, so small enough to be broadcast by its known size.
-        marks = self.spark.createDataFrame(seen, "topic string, partition int, _seen long")
-        fresh = F.col("_seen").isNull() | (F.col("offset") > F.col("_seen"))
-        return messages.join(marks, ["topic", "partition"], "left").where(fresh).drop("_seen")
-
-    def _write_log(self, messages: DataFrame, number: int) -> None:
+    def _write_log(self, routed: DataFrame, *parts: str) -> None:
         """One pass over the batch, no shuffle: a broker partition belongs to one entity already."""
-        path = self.folder.path("log", f"batch={number}")
-        decode.route_messages(messages).write.mode("overwrite").partitionBy("route", "entity").parquet(path)
+        routed.write.mode("overwrite").partitionBy("route", "entity").parquet(self.folder.path(*parts))
 
-    def _count_logged(self, batch: DataFrame, commit: Commit) -> int:
-        """Note the highest offset per topic partition; gives the number of log rows."""
-        marks = (
+    def _read_log(self, *parts: str) -> DataFrame:
+        base = self.folder.path(parts[0])
+        return self.spark.read.schema(_ROUTED_SCHEMA).option("basePath", base).parquet(self.folder.path(*parts))
+
+    def _marks(self, batch: DataFrame) -> list[Row]:
+        """Lowest and highest offset and number of log rows per topic partition."""
+        return (
             batch.groupBy("kafka_topic", "kafka_partition")
             .agg(
-                F.max("kafka_offset").alias("last"),
+                F.min("kafka_offset").alias("low"),
+                F.max("kafka_offset").alias("high"),
                 F.count(F.when(F.col("route") == decode.LOG, F.lit(1))).alias("logged"),
             )
             .collect()
         )
+
+    def _known_range(self, mark: Row, commit: Commit) -> list[int] | None:
+        """The logged offsets' range of a topic partition, if the batch reaches into it."""
+        known = commit.offsets.get(mark["kafka_topic"], {}).get(str(mark["kafka_partition"]))
+        return known if known and mark["low"] <= known[1] and mark["high"] >= known[0] else None
+
+    def _holds_repeats(self, batch: DataFrame, marks: list[Row], commit: Commit) -> bool:
+        """Whether the batch may hold messages twice or messages that the log has."""
+        if any(self._known_range(mark, commit) for mark in marks):
+            return True
+        return not batch.groupBy(*decode.POSITION).count().where("count > 1").isEmpty()
+
+    def _drop_repeats(self, batch: DataFrame, marks: list[Row], commit: Commit, number: int) -> None:
+        """Write the batch anew with each message once and none that an earlier batch logged.
+
+        Only topic partitions and offsets that the batch shares with the log are looked up in it.
+        """
+        fresh = batch.dropDuplicates(list(decode.POSITION))
+        shared = F.lit(False)
+        for mark in marks:
+            if self._known_range(mark, commit):
+                shared = shared | (
+                    F.col("kafka_topic").eqNullSafe(mark["kafka_topic"])
+                    & F.col("kafka_partition").eqNullSafe(mark["kafka_partition"])
+                    & F.col("kafka_offset").between(mark["low"], mark["high"])
+                )
+        earlier = self._routed(commit).where(shared).select(*decode.POSITION)
+        fresh = fresh.join(earlier, list(decode.POSITION), "left_anti")
+        self._write_log(fresh.select(*batch.columns).drop("batch"), "repeats", f"batch={number}")
+        self.folder.delete("log", f"batch={number}")
+        self.folder.move(("repeats", f"batch={number}"), ("log", f"batch={number}"))
+
+    def _note(self, marks: list[Row], commit: Commit) -> int:
+        """Widen the known offset ranges; gives the number of log rows."""
         for mark in marks:
             parts = commit.offsets.setdefault(mark["kafka_topic"], {})
             key = str(mark["kafka_partition"])
-            parts[key] = max(parts.get(key, -1), mark["last"])
+            low, high = parts.get(key, [mark["low"], mark["high"]])
+            parts[key] = [min(low, mark["low"]), max(high, mark["high"])]
         return sum(mark["logged"] for mark in marks)
 
-    def _merge(
-        self, batch: DataFrame, commit: Commit, entity: Entity, number: int, stream: str
-    ) -> list[int]:
+    def _merge(self, batch: DataFrame, commit: Commit, entity: Entity, number: int) -> list[int]:
         """Put a logged batch on top of an entity's table; gives the rewritten buckets."""
         log = batch.where((F.col("route") == decode.LOG) & (F.col("entity") == entity.name))
-        changes = state.latest_changes(decode.decode_changes(log, entity), entity, stream)
+        changes = state.latest_changes(decode.decode_changes(log, entity), entity)
         bucket = F.pmod(F.xxhash64(entity.key), F.lit(commit.buckets)).cast("int")
         changes = changes.withColumn("bucket", bucket).persist()
         try:
