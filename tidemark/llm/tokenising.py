@@ -8,19 +8,20 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from unicodedata import is_normalized
 
 import numpy as np
 
 #: Ids are little-endian unsigned 32-bit integers.
 ID = np.dtype("<u4")
-#: Pieces kept per Python worker, about 200 MB; then the store starts anew.
-MOST_PIECES = 800_000
+#: Pieces kept per Python worker, about 250 MB; then the store starts anew.
+MOST_PIECES = 1_200_000
 #: After a letter these always begin a piece of their own, and none of them begins a contraction.
 _MARKS = '.,;:!?*$%&#|"()[]{}-_/'
 #: Blanks other than single spaces and line feeds between words: such texts are encoded whole.
 _OTHER_BLANKS = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0  -     　]")
-_RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
 #: Bytes as the characters that stand for them in byte-level vocabularies: printable ones are
@@ -32,6 +33,13 @@ _BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {
 _PROBES = ["a", "the", " of", "Under", " word", "ABC", "straße", " été", "ñandú", "Über", "漢字", " тест", "ab", "thereof"]
 
 
+def _ids(ids: list[int]) -> bytes:
+    held = array("I", ids)
+    if sys.byteorder != "little":
+        held.byteswap()
+    return held.tobytes()
+
+
 class _Pieces(dict):
     """Ids by piece; an absent one is encoded and kept."""
 
@@ -42,18 +50,24 @@ class _Pieces(dict):
         self.short_cut = all(self._letters(p) == self._whole(p) for p in _PROBES)
 
     def _whole(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=ID).tobytes()
+        return _ids(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def _letters(self, piece: str) -> bytes:
         """The ids of a piece of letters, which is merged as one; asking the model itself saves a third."""
-        word = piece
-        if self.drops_blanks:
-            word = piece.strip(" ").lower()
-        if not (self.short_cut and word.strip(" ").isalpha() and is_normalized("NFC", piece) and "Σ" not in piece):
+        spaced = piece[0] == " "
+        word = piece[1:] if spaced else piece
+        plain = piece.isascii()
+        if not (self.short_cut and word.isalpha() and (plain or is_normalized("NFC", piece) and "Σ" not in piece)):
             return self._whole(piece)
-        if not word.isascii() or word[0] == " ":
+        if self.drops_blanks:
+            word = word.lower()
+            if not (plain or word.isalpha()):
+                return self._whole(piece)
+        if not plain:
             word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return np.array([t.id for t in self.model.tokenize(word)], dtype=ID).tobytes()
+        if spaced and not self.drops_blanks:
+            word = _BYTE_CHARS[32] + word
+        return _ids([t.id for t in self.model.tokenize(word)])
 
     def __missing__(self, piece: str) -> bytes:
         stem = piece.rstrip(_MARKS)
@@ -84,7 +98,7 @@ class TextEncoder:
     def encode(self, text: str) -> bytes:
         """The ids of the whole text."""
         if "\0" in text or not self.drops_blanks and self._has_runs(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=ID).tobytes()
+            return _ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if len(self.pieces) > MOST_PIECES:
             self.pieces.clear()
         cut = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
@@ -92,7 +106,9 @@ class TextEncoder:
 
     @staticmethod
     def _has_runs(text: str) -> bool:
-        return any(run in text for run in _RUNS) or _OTHER_BLANKS.search(text) is not None
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+            return True
+        return _OTHER_BLANKS.search(text) is not None
 
 
 _encoders: dict[str, TextEncoder] = {}
