@@ -151,6 +151,33 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     assert lineitem and all("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in line for line in lineitem)
 
 
+def shuffled_plan(spark, frame):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["daily_trend", "orders_by_status"])
+def test_trend_and_status_shuffle_orders_by_customer_once(spark, name):
+    plan = shuffled_plan(spark, getattr(dashboard, name)(tables(spark), PICKED))
+    keyed = [line for line in plan.split("\n") if "Exchange hashpartitioning(customer_id" in line]
+    assert len(keyed) == 2  # orders and the customers they are held against
+
+
+def test_city_and_category_thin_out_before_the_lines(spark):
+    plan = shuffled_plan(spark, dashboard.kpi_row(tables(spark), PICKED))
+    assert plan.count("LeftSemi") == 2
+    assert shuffled_plan(spark, dashboard.top_products(tables(spark), PICKED)).count("LeftSemi") == 2
+
+
+def test_payments_are_read_once_for_shares(spark):
+    result = dashboard.payment_share(tables(spark))
+    result.collect()
+    assert "ReusedExchange" in result._jdf.queryExecution().executedPlan().toString()
+
+
 def test_marts_add_up_before_joining(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

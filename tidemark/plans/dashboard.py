@@ -70,11 +70,12 @@ def star(tables: Tables, filters: Filters = Filters()) -> DataFrame:
     return items.join(products, "product_id").join(orders.join(customers, "customer_id"), "order_id")
 
 
-def filtered_orders(tables: Tables, filters: Filters = Filters()) -> DataFrame:
+def filtered_orders(tables: Tables, filters: Filters = Filters(), of_buyers: bool = False) -> DataFrame:
     """Orders that pass the filters and have a matching line, with `n_lines`.
 
     A city selection thins out the orders before they meet the lines. Without one, only orders without a
-    customer in a city would go, so that is left to `order_facts`, after adding up.
+    customer in a city would go: that is left to `order_facts`, after adding up, unless `of_buyers` asks
+    for it here.
     """
     wanted = filters.products(tables.products).select("product_id")
     lines = (
@@ -84,7 +85,7 @@ def filtered_orders(tables: Tables, filters: Filters = Filters()) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
     orders = filters.orders(tables.orders)
-    if filters.cities is not None:
+    if of_buyers or filters.cities is not None:
         orders = orders.join(filters.customers(tables.customers).select("customer_id"), "customer_id", "left_semi")
     return orders.join(lines, "order_id")
 
@@ -154,11 +155,11 @@ def kpi_row(tables: Tables, filters: Filters = Filters(), grain: str = LINE) ->
 
 
 def daily_trend(tables: Tables, filters: Filters = Filters(), grain: str = LINE) -> DataFrame:
-    day = time.day_start(F.col("order_ts")).alias("order_day")
+    """Customers only filter here, so orders are added up by day at once."""
     return (
-        order_facts(tables, filters, [day], grain)
-        .groupBy("order_day")
-        .agg(*_resummed())
+        filtered_orders(tables, filters, of_buyers=True)
+        .groupBy(time.day_start(F.col("order_ts")).alias("order_day"))
+        .agg(*_fact_sums(grain))
         .select("order_day", "orders", money.total("kept").alias("revenue"))
         .orderBy("order_day")
     )
@@ -172,9 +173,9 @@ def daily_trend_long(tables: Tables, filters: Filters = Filters(), grain: str =
 
 def orders_by_status(tables: Tables, filters: Filters = Filters()) -> DataFrame:
     return (
-        order_facts(tables, filters, ["status"])
+        filtered_orders(tables, filters, of_buyers=True)
         .groupBy("status")
-        .agg(F.sum("orders").alias("orders"))
+        .agg(F.count(F.lit(1)).alias("orders"))
         .orderBy(F.col("orders").desc(), "status")
     )
 
