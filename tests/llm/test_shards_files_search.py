@@ -119,7 +119,7 @@ def plain_search(rows, k, scale=64):
     for q in v:
         if q % 20 == 0:
             scored = [(-sum(a * b for a, b in zip(v[q], v[c], strict=True)), c) for c in v if c != q and len(v[c]) == len(v[q])]
-            found |= {(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(scored)[:k])}
+            found |= {(q, n + 1, c, min(-s, 2**63 - 1)) for n, (s, c) in enumerate(sorted(scored)[:k])}
     return found
 
 

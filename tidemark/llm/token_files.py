@@ -34,7 +34,7 @@ from tidemark.llm.tokenising import ID, encoder
 
 #: Places per key on a level of the index.
 SPREAD = 2
-_SEED = np.uint64(0x9E3779B97F4A7C15)
+_SEED = 0x9E3779B97F4A7C15
 _PRINT = np.uint64(0xD1B54A32D192ED03)
 READ_BYTES = 8 << 20
 
@@ -61,7 +61,8 @@ class PerfectHash:
 
     @staticmethod
     def _places(hashes: np.ndarray, level: int, places: int) -> np.ndarray:
-        return (mix(hashes + _SEED * np.uint64(level + 1)) % np.uint64(places)).astype(np.int64)
+        seed = np.uint64(_SEED * (level + 1) % (1 << 64))
+        return (mix(hashes + seed) % np.uint64(places)).astype(np.int64)
 
     def slots(self, keys: np.ndarray) -> np.ndarray:
         """Slots of keys; -1 for keys that no level holds. An unknown key may get a known key's slot."""
