@@ -151,6 +151,20 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     assert lineitem and all("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in line for line in lineitem)
 
 
+def test_a_failed_build_leaves_the_old_mart(spark, tmp_path, monkeypatch):
+    source = tables(spark)
+    marts.build_marts(source, str(tmp_path), ["orders_summary"])
+    before = spark.read.parquet(str(tmp_path / "orders_summary")).collect()
+
+    def broken(_):
+        return source.orders.selectExpr("raise_error('lost') AS status")
+
+    monkeypatch.setitem(marts.MARTS, "orders_summary", broken)
+    with pytest.raises(Exception, match="lost"):
+        marts.build_marts(source, str(tmp_path), ["orders_summary"])
+    assert spark.read.parquet(str(tmp_path / "orders_summary")).collect() == before
+
+
 def shuffled_plan(spark, frame):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -52,6 +52,9 @@ def parser() -> argparse.ArgumentParser:
     page.add_argument("--start", type=date.fromisoformat)
     page.add_argument("--end", type=date.fromisoformat)
 
+    vacuum = commands.add_parser("vacuum", help="delete table versions that recent commits do not use")
+    vacuum.add_argument("store")
+    vacuum.add_argument("--keep", type=int, default=10, help="commits whose tables stay readable")
     latest = commands.add_parser("latest")
     latest.add_argument("store")
     latest.add_argument("-k", type=int, default=30)
@@ -85,6 +88,8 @@ def main(argv: list[str] | None = None) -> None:
         filters = dashboard.Filters(*picked, args.start, args.end)
         for name, frame in dashboard.page(ChangeStore(spark, args.store).tables(), filters).items():
             frame.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+    elif args.command == "vacuum":
+        print(ChangeStore(spark, args.store).vacuum(args.keep), "folders deleted")
     elif args.command == "latest":
         ChangeStore(spark, args.store).latest_events(args.k).show(args.k, truncate=False)
 

@@ -7,6 +7,7 @@ by customer serves the aggregation and the join alike.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import money, time
 from tidemark.operators import quality
 from tidemark.operators.sampling import top_k
+from tidemark.sources.files import Folder
 from tidemark.sources.tables import Tables
 
 CANCELED = "canceled"
@@ -158,9 +160,19 @@ NOT_NULL: dict[str, list[str]] = {
 
 
 def build_marts(tables: Tables, folder: str, names: list[str] | None = None) -> None:
-    """Rebuild marts as `<folder>/<mart>`."""
+    """Rebuild marts as `<folder>/<mart>`.
+
+    A mart is written aside and takes the old one's place by renaming, so a failure while it is built leaves
+    the old one, and readers never meet half of one.
+    """
     for name in names or MARTS:
-        MARTS[name](tables).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+        plan = MARTS[name](tables)
+        target, draft, old = Folder(plan.sparkSession, folder), f"_draft-{uuid.uuid4().hex}", f"_old-{uuid.uuid4().hex}"
+        plan.write.parquet(target.path(draft))
+        if target.exists(name):
+            target.move((name,), (old,))
+        target.move((draft,), (name,))
+        target.delete(old)
 
 
 def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:
