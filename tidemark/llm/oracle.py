@@ -72,7 +72,7 @@ WITH known AS (
 ),
 docs AS (SELECT doc_id, coalesce(text, '') AS body, count(*) AS n_rows FROM documents GROUP BY ALL),
 parts AS (
-    SELECT doc_id, body, unnest(list_distinct(list_concat(string_split_regex(body, '\n[\t ]*\n'), string_split(body, '\n')))) AS part FROM docs
+    SELECT doc_id, body, unnest(list_distinct(list_concat(string_split_regex(body, '\n[\t ]*\n'), string_split(body, chr(10))))) AS part FROM docs
 ),
 found AS (
     SELECT p.doc_id, p.body, k.license FROM parts p JOIN known k ON {_canonical("p.part")} = k.form AND k.form <> ''
