@@ -360,13 +360,19 @@ def _scored(params: Params | None, base: float, keep: list[str]):
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, used: Column) -> list[tuple[str, int]]:
-    """Up to SAMPLE_DOCS labelled texts of each class, drawn by a hash of the id; equal texts once."""
+    """Up to SAMPLE_DOCS labelled texts of each class, drawn by a hash of the id; equal texts once.
+
+    Ids are drawn first, without texts; only those of the drawn ids, a bounded number, are sent on.
+    """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
-    rows = docs.where(used & (F.length("_t") <= SAMPLE_CHARS)).join(known, "_id")
+    fits = docs.where(used & (F.length("_t") <= SAMPLE_CHARS))
+    rows = fits.select("_id").join(known.where(F.col("_label").isin(0, 1)), "_id").distinct()
     found: dict[str, int] = {}  # copies of one text would teach its rare words
     for c in (0, 1):
-        drawn = rows.where(F.col("_label") == c).orderBy(F.xxhash64("_id"), "_id", "_t").limit(SAMPLE_DOCS)
-        found |= {r["_t"]: c for r in drawn.select("_t").collect() if r["_t"].split()}
+        drawn = rows.where(F.col("_label") == c).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
+        ids = docs.sparkSession.createDataFrame(drawn.select("_id").collect(), drawn.select("_id").schema)
+        texts = fits.join(F.broadcast(ids), "_id").select("_id", "_t").distinct().orderBy(F.xxhash64("_id"), "_id", "_t")
+        found |= {r["_t"]: c for r in texts.limit(SAMPLE_DOCS).collect() if r["_t"].split()}
     return list(found.items())
 
 
