@@ -34,6 +34,8 @@ from tidemark.llm.shingles import mix, shingle_sets
 
 PERMUTATIONS = 48
 BANDS = PERMUTATIONS // 2
+#: Keys that may be broadcast, 16 MB of them.
+BROADCAST_KEYS = 2_000_000
 #: Members of a bucket whose pairs are all compared one by one.
 SMALL_BUCKET = 6
 #: Rounds in which members outside the largest component meet one more member of it.
@@ -214,12 +216,19 @@ class _Links:
         self.seen: DataFrame | None = None
         self.links: DataFrame | None = None
 
+    def _texts(self, needed: DataFrame) -> DataFrame:
+        """(key, text) of the needed keys. Up to BROADCAST_KEYS of them go to every task, so that the other
+        texts are not shuffled only to be left out; more are joined by a shuffle of all texts."""
+        needed = stored(needed, "near-needed")
+        marked = F.broadcast(needed) if needed.count() <= BROADCAST_KEYS else needed
+        return self.keyed.join(marked, "key", "left_semi").select("key", "text").distinct()
+
     def compare_around(self, open_rows: DataFrame) -> None:
         """Adds the links of members outside their bucket's largest component, block by block."""
         around = open_rows.groupBy("main", "node").agg(F.first("label").alias("label"), F.first("n").alias("n"))
         blocks = around.groupBy("main").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-        texts = self.keyed.join(around.select(F.col("node").alias("key")).distinct(), "key", "left_semi")
-        whole = stored(around.join(blocks, "main").join(texts.select(F.col("key").alias("node"), "text").distinct(), "node"), "near-around")
+        texts = self._texts(around.select(F.col("node").alias("key")).distinct())
+        whole = stored(around.join(blocks, "main").join(texts.withColumnRenamed("key", "node"), "node"), "near-around")
         own, every = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         left = whole.where("label <> main").select("main", "node", "label", "text", own.alias("i"), every.alias("j"))
         right = whole.select("main", "node", "label", "text", every.alias("i"), own.alias("j"))
@@ -238,8 +247,7 @@ class _Links:
         for side in "ab":
             sketched = sketched.join(self.sketches.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
         fresh = stored(sketched.mapInArrow(_likely(self.percent), "a long, b long"), "near-likely")
-        needed = fresh.select(F.col("a").alias("key")).union(fresh.select(F.col("b").alias("key"))).distinct()
-        texts = self.keyed.join(needed, "key", "left_semi").select("key", "text").distinct()
+        texts = self._texts(fresh.select(F.col("a").alias("key")).union(fresh.select(F.col("b").alias("key"))).distinct())
         paired = fresh.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
             texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"
         )
