@@ -96,6 +96,18 @@ def test_distances_match_plain_estimates(spark):
     assert rejected == {r[0] for r in rows if r[0] % 12 in (1, 2)}
 
 
+@pytest.mark.parametrize("junk, copies", [(40, True), (40, False), (54, True), (54, False)])
+def test_junk_below_half_of_a_source_is_rejected(spark, junk, copies):
+    rows = [doc(i, prose(i, 40 + i % 100)) for i in range(120 - junk)]
+    for i in range(junk):
+        text = prose(1000 if copies else 1000 + i, 90 if copies else 40 + i)
+        rows.append(doc(1000 + i, " ".join(w + "***" for w in text.split())))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size long, kept string, label int, digest string, rank int")
+    got = rules.judge(frame, ["doc_id"]).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} == {r[0] for r in rows if r[0] >= 1000}
+
+
 def test_chi_square():
     assert rules.chi_square_quantile(0.95, 1) == pytest.approx(3.841458820694, rel=1e-9)
     assert rules.chi_square_quantile(0.99, 5) == pytest.approx(15.08627246939, rel=1e-9)

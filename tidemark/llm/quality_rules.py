@@ -5,7 +5,8 @@ the shares of symbols, repeated lines, repeated words and capitals. For each (la
 each language, the minimum covariance determinant estimate is found by concentration steps: distances from
 the present centre and covariance, then mean and covariance of the `SHARE` of documents that lie nearest. Steps
 start from medians with median deviations, and from mean and covariance of all rows; the smaller
-determinant wins. A document whose squared Mahalanobis distance exceeds `cutoff` is rejected.
+determinant wins. A document whose squared Mahalanobis distance exceeds `cutoff` is rejected, also when junk
+is up to almost half of its group, copies of one text or not.
 
 Only DataFrame operations. Vectors are fixed-point integers, so all sums are exact and do not depend on
 how rows are dealt. A concentration step is one aggregation: moments are summed per group and distance
@@ -30,8 +31,9 @@ from tidemark.llm.statistics import COUNTS, text_statistics
 DIMS = 5
 #: Vectors are whole multiples of 1 / SCALE.
 SCALE = 1024
-#: Share of a group's documents that the estimate rests on.
-SHARE = 0.75
+#: Share of a group's documents that the estimate rests on. Junk stays out of it while the other documents
+#: are more than this share: at one half, as much junk as any estimate can bear.
+SHARE = 0.5
 STEPS = 3
 #: Standard deviations below which differences mean nothing: without them, a source whose documents
 #: have no repeats at all would reject the first that has one.
