@@ -70,6 +70,11 @@ def test_groups_of_every_kind(spark):
     check(spark, rows)
 
 
+def test_different_texts_under_one_id_are_joined(spark):
+    a, b, c, d = (prose(900 + i, 60) for i in range(4))
+    check(spark, [doc(3, a), doc(5, a), doc(5, b), doc(6, c), doc(7, a), doc(7, c), doc(8, b), doc(9, d), doc(9, ""), doc(None, c), doc(10, d)])
+
+
 def test_awkward_rows(spark):
     check(spark, AWKWARD)
 

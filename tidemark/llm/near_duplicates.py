@@ -266,6 +266,14 @@ def _unjoined(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(several.select("bucket", "main"), "bucket")
 
 
+def _one_document(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) from each key that stands in several classes to the nodes of those classes."""
+    spread = full.groupBy("key").agg(F.min(F.xxhash64("print")).alias("first"), F.max(F.xxhash64("print")).alias("last"))
+    rows = full.select("key", "print").join(spread.where("first <> last").select("key"), "key", "left_semi")
+    named = rows.join(classes.select("print", "node"), "print").where("key <> node")
+    return named.select(F.col("key").alias("a"), F.col("node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row."""
     small_batches(docs.sparkSession)
@@ -280,6 +288,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     sketches = heads.select(F.col("key").alias("node"), "sketch")
     links = _Links(keyed, sketches, size, percent)
+    links.links = stored(_one_document(full, classes), "near-links")
     shared_bands = buckets.where("node <> centre").groupBy("node", "n", "centre", "centre_n").agg(F.count(F.lit(1)).alias("bands"))
     nearest = shared_bands.groupBy("node", "n").agg(F.max_by(F.struct("centre", "centre_n"), F.struct("bands", "centre")).alias("c"))
     links.compare(nearest.select(F.col("c.centre").alias("a"), F.col("node").alias("b"), F.col("c.centre_n").alias("n_a"), F.col("n").alias("n_b")))
