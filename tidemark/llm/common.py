@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,3 +75,27 @@ def ranked(frame: DataFrame, keys: list[str], order: list[Column], salt: Column,
     within = Window.partitionBy(*keys, "_part").orderBy(*order)
     local = salted.withColumn("_within", F.row_number().over(within) - 1)
     return local.join(firsts, [*keys, "_part"]).withColumn(rank, F.col("_first") + F.col("_within")).drop("_part", "_first", "_within")
+
+
+def streamed_rows(batches) -> Iterator[tuple]:
+    """The rows of Arrow batches, one batch in memory at a time."""
+    for batch in batches:
+        yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
+
+
+def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, weight: Callable[[tuple], int] = lambda row: 1, most: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of bounded weight."""
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        columns = zip(zip(*held, strict=True), schema, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in columns], schema=schema)
+
+    held, load = [], 0
+    for row in rows:
+        held.append(row)
+        load += weight(row)
+        if load >= most:
+            yield batch(held)
+            held, load = [], 0
+    if held:
+        yield batch(held)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    chat_formatting,
     licenses,
     mixing,
     near_duplicates,
@@ -15,9 +16,11 @@ from tidemark.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    target_sampling,
     token_files,
     topk,
     toxicity,
+    turn_repair,
 )
 from tidemark.llm.common import table
 from tidemark.llm.oracle import ORACLE_SQL  # noqa: F401  given to the driver with the queries
@@ -97,10 +100,29 @@ def op10_indexed_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, manifest, store)
 
 
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    roles = F.explode(F.array(F.lit("user"), F.lit("assistant"))).alias("role")
+    added = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), roles, said.alias("text"))
+    added = added.select("conv_id", F.when(F.col("role") == "user", 0).otherwise(1).cast("long").alias("turn"), "role", "text")
+    return chat_formatting.read_conversations(chat_formatting.written(rows.unionByName(added)))
+
+
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = turn_repair.damaged(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+    return turn_repair.repair(rows, F.col("dropped"))
+
+
+def op13_target_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return target_sampling.resample(docs, table(spark, folder, "benchmark").select("text"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_exact_top_k, op2_entropy_mix, op3_quadratic_quality, op4_recurrent_toxicity, op5_near_duplicates, op6_best_fit_packing,
-        op7_balanced_shards, op8_license_digests, op9_quality_rules, op10_indexed_tokens,
+        op7_balanced_shards, op8_license_digests, op9_quality_rules, op10_indexed_tokens, op11_chat_format, op12_turn_repair, op13_target_sampling,
     )
 }
