@@ -37,14 +37,32 @@ def _without(docs: DataFrame, rejected: DataFrame, names: list[str]) -> DataFram
     return docs.join(renamed, same, "left_anti")
 
 
-def _once(docs: DataFrame) -> DataFrame:
-    """The documents with one row for each id and text. Only repeated rows, most often none, are compared."""
-    names = ["doc_id"]
-    repeated = docs.select("doc_id", _digest().alias("digest")).groupBy("doc_id", "digest").count().where("count > 1").drop("count")
+def _once(docs: DataFrame, names: list[str]) -> DataFrame:
+    """The documents with one row for each text under equal names: the first by source and language. Only
+    repeated rows, most often none, are compared."""
+    repeated = docs.select(*names, _digest().alias("digest")).groupBy(*names, "digest").count().where("count > 1").drop("count")
+    if repeated.isEmpty():
+        return docs
     renamed, same = _matching(docs, repeated, names)
     single = docs.join(renamed, same, "left_anti")
-    several = docs.join(renamed, same, "left_semi").withColumn("_v_digest", _digest())
-    return single.unionByName(several.dropDuplicates(["doc_id", "_v_digest"]).drop("_v_digest"))
+    several = docs.join(renamed, same, "left_semi")
+    order = F.struct(*[x for c in ("source", "lang") for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
+    first = several.groupBy(*[F.col(n).alias(f"_v_{n}") for n in names], _digest().alias("_v_digest")).agg(F.min_by(F.struct(*docs.columns), order).alias("_v_row"))
+    return single.unionByName(first.select("_v_row.*"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Adds `_v_key`, a number for each different text under an id: the id itself for the first of its texts by digest, else a
+    number beyond all usual ids made from id and text, so that a row with a usual id comes before rows with none."""
+    made = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), "doc_id").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    texts = docs.where("doc_id is not null").select("doc_id", _digest().alias("digest"))
+    spread = texts.groupBy("doc_id").agg(F.min(F.coalesce("digest", F.lit(""))).alias("_v_first"), F.max(F.coalesce("digest", F.lit(""))).alias("_v_last"))
+    shared = spread.where("_v_first <> _v_last").select(F.col("doc_id").alias("_v_id"), "_v_first")
+    if shared.isEmpty():
+        return docs.withColumn("_v_key", F.coalesce("doc_id", made))
+    named = docs.join(shared, F.col("doc_id") == F.col("_v_id"), "left")
+    later = F.coalesce(F.coalesce(_digest(), F.lit("")) != F.col("_v_first"), F.lit(False))
+    return named.select(*docs.columns, F.when(F.col("doc_id").isNull() | later, made).otherwise(F.col("doc_id")).alias("_v_key"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,20 +80,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that with the least id. Rows without an id stay once per text,
-    unless their group has a row with one."""
-    found = near.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80)
-    dropped = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_v_doc_id")).distinct()
-    return _once(docs.join(dropped, F.col("doc_id") == F.col("_v_doc_id"), "left_anti"))
+    """One document of each group: that with the least id. Rows without an id and further texts under one id are documents
+    of their own and come after rows with an id; of rows with equal ids and texts the first by source and language stays."""
+    keyed = _keyed(docs)
+    found = near.near_duplicates(keyed.select(F.col("_v_key").alias("doc_id"), "text"), size=5, percent=80)
+    dropped = found.where("not kept").select(F.col("doc_id").alias("_v_dropped")).distinct()
+    return _once(keyed.join(dropped, F.col("_v_key") == F.col("_v_dropped"), "left_anti").select(docs.columns), ["doc_id"])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; repeated rows are taken together."""
+    """Each document as often as the mix takes it; rows with equal id, source and text are taken together."""
     marked = docs.select("doc_id", "source", "text", _digest().alias("digest"))
     taken = mixes.mix(marked, keep=["digest"])
-    copies = taken.groupBy("doc_id", "source", "digest").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    renamed, same = _matching(docs, copies, ["doc_id", "source"])
-    rows = _once(docs).join(renamed, same)
+    names = ["doc_id", "source"]
+    copies = taken.groupBy(*names, "digest").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    renamed, same = _matching(docs, copies, names)
+    rows = _once(docs, names).join(renamed, same)
     return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_v_copies").cast("int"))).alias("_v_copy")).drop("_v_copy")
 
 
