@@ -7,6 +7,7 @@ from functools import cache
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from tests.llm.conftest import AWKWARD, prose
 from tidemark.llm import packing
@@ -16,20 +17,33 @@ from tidemark.llm.tokenising import TextEncoder
 PATHS = [tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")]
 
 
-@pytest.fixture(scope="module", params=PATHS)
-def coder(request):
-    return TextEncoder(request.param)
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext |>"]
 
 
-def test_ids_are_those_of_whole_texts(coder):
+@pytest.mark.parametrize("path", PATHS)
+def test_ids_are_those_of_whole_texts(path):
+    coder, plain = TextEncoder(path), Tokenizer.from_file(path)
     rng = random.Random(3)
     texts = [r[1] or "" for r in AWKWARD] + [
         "a  b", " a", "a\n\n b", "don't we'll ,x", "\n\n\nx", "x \n", "ÉCOLE été, ﬁ ½ ² ٣ 漢字　漢", "á é", "tab\tx y", "x<|endoftext|> y",
         'a-b_c/d "q" (r) x... -- 3.5,2', "Ǆ ΣΑΣ. Σ", "ⅷ.", "x²,", "İi İ.",
     ]
     texts += ["".join(rng.choice("ab é\n .,'s　!1") for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    for mark in SPECIAL:
+        texts += [mark, f"{mark}at the start", f"{mark} apart", f"in the {mark} middle", f"at the end{mark}", f"in{mark}side\nété {mark}{mark}", f"{mark}\u0338 x"]
     for text in texts:
-        assert np.frombuffer(coder.encode(text), "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    end = plain.token_to_id("<|endoftext|>")
+    assert end in np.frombuffer(coder.encode("a <|endoftext|> b"), "<u4")
+
+
+@pytest.mark.parametrize("path", PATHS)
+def test_special_strings_as_text(path):
+    coder, plain = TextEncoder(path, as_text=True), Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    for text in ["a <|endoftext|> b", "<|startoftext|>x", "y<|endoftext|>"]:
+        ids = np.frombuffer(coder.encode(text), "<u4").tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids and plain.token_to_id("<|endoftext|>") not in ids
 
 
 def fewest(sizes, most):
@@ -89,13 +103,13 @@ def test_large_plans_are_near_the_bound():
 
 
 def check(frame, rows, most):
-    coder = TextEncoder(PATHS[0])
+    plain = Tokenizer.from_file(PATHS[0])
     cut = packing.pieces(frame, PATHS[0], 2, most, with_ids=True)
     packed = packing.pack(cut, most)
     got = packed.collect()
     expected = Counter()
     for row in rows:
-        ids = [*coder.tokenizer.encode(row[1] or "", add_special_tokens=False).ids, 2]
+        ids = [*plain.encode(row[1] or "", add_special_tokens=False).ids, 2]
         first = len(ids) % most or most
         bounds = [0, *range(first, len(ids) + 1, most)]
         for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
@@ -123,5 +137,5 @@ def test_nothing(nothing):
 
 
 def test_one_length_for_most_rows(spark):
-    rows = [(i, "same words here" if i % 3 else prose(i, 9)) for i in range(200)]
+    rows = [(i, "same words here" if i % 3 else prose(i, 9)) for i in range(200)] + [(200, "hello <|endoftext|> world")]
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows, 16)

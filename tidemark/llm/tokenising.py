@@ -10,7 +10,7 @@ import os
 import re
 import sys
 from array import array
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 
@@ -83,27 +83,38 @@ class _Pieces(dict):
 
 
 class TextEncoder:
-    """Encodes texts; strings of special tokens in a text are ordinary text."""
+    """Encodes texts as the library does with its defaults: a special token's string in a text becomes that token's id.
+    With `as_text` such strings are ordinary text, so that no text can hold a control id.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = as_text
+        #: Texts that may hold these go to the library whole.
+        self.added = [] if as_text else [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.drops_blanks = not self.tokenizer.encode(" \n ", add_special_tokens=False).ids
         self.pieces = _Pieces(self.tokenizer, self.drops_blanks)
         self.vocabulary = self.tokenizer.get_vocab_size()
 
     def encode(self, text: str) -> bytes:
         """The ids of the whole text."""
-        if "\0" in text or not self.drops_blanks and self._has_runs(text):
+        if "\0" in text or not self.drops_blanks and self._has_runs(text) or self.added and self._may_hold_added(text):
             return _ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if len(self.pieces) > MOST_PIECES:
             self.pieces.clear()
         cut = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
         return b"".join(map(self.pieces.__getitem__, cut))
 
+    def _may_hold_added(self, text: str) -> bool:
+        """Whether a token's string is in the text in any spelling that the library may bring to it."""
+        if not text.isascii():
+            text = normalize("NFKC", text)
+        lower = text.lower()
+        return any(token in lower for token in self.added)
+
     @staticmethod
     def _has_runs(text: str) -> bool:
         if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
@@ -111,11 +122,12 @@ class TextEncoder:
         return _OTHER_BLANKS.search(text) is not None
 
 
-_encoders: dict[str, TextEncoder] = {}
+_encoders: dict[tuple[str, bool], TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, as_text: bool = False) -> TextEncoder:
     """This worker's encoder for the file."""
-    if path not in _encoders:
-        _encoders[path] = TextEncoder(path)
-    return _encoders[path]
+    key = path, as_text
+    if key not in _encoders:
+        _encoders[key] = TextEncoder(*key)
+    return _encoders[key]
