@@ -1,17 +1,18 @@
 from __future__ import annotations
 
 import heapq
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from tests.llm.conftest import AWKWARD, doc, prose
 from tidemark.llm import licenses, sharding, token_files, topk
 from tidemark.llm.queries import tokenizer_path
-from tidemark.llm.tokenising import TextEncoder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, kept string, label int, digest string, rank int"
 WORD_BPE = tokenizer_path("word_bpe_49k.json")
@@ -74,10 +75,10 @@ def test_perfect_hash():
 
 
 def check_files(spark, rows, folder):
-    coder = TextEncoder(WORD_BPE)
+    plain = Tokenizer.from_file(WORD_BPE)
     manifest = token_files.write(spark.createDataFrame(rows, SCHEMA).repartition(4), folder, WORD_BPE, 2)
     got = token_files.read(spark, manifest, folder).collect()
-    ids = {i: [*coder.tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 2] for i, r in enumerate(rows)}
+    ids = {i: [*plain.encode(r[1] or "", add_special_tokens=False).ids, 2] for i, r in enumerate(rows)}
     expected = Counter((r[0], len(ids[i]), zlib.crc32(np.array(ids[i], "<u4").tobytes())) for i, r in enumerate(rows))
     assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == expected
     at = 0
@@ -113,27 +114,31 @@ def test_repeated_attempts_leave_one_store(spark, tmp_path):
     assert token_files.read(spark, manifest, str(tmp_path / "store")).count() == 20
 
 
-def plain_search(rows, k, scale=64):
-    v = {i: [int(np.floor(scale * float(np.float32(x)))) for x in e] for i, e in rows}
-    found = set()
-    for q in v:
-        if q % 20 == 0:
-            scored = [(-sum(a * b for a, b in zip(v[q], v[c], strict=True)), c) for c in v if c != q and len(v[c]) == len(v[q])]
-            found |= {(q, n + 1, c, min(-s, 2**63 - 1)) for n, (s, c) in enumerate(sorted(scored)[:k])}
+def plain_search(rows, k):
+    """Every pair of rows with different ids; the rows of one query id share a list."""
+    v = [(i, [math.floor(64 * float(np.float32(x))) for x in e]) for i, e in rows]
+    found = Counter()
+    for q in {i for i, _ in v if i % 20 == 0}:
+        scored = [
+            (-sum(a * b for a, b in zip(e, f, strict=True)), c) for i, e in v if i == q for c, f in v if c != q and len(e) == len(f)
+        ]
+        found.update((q, n + 1, c, min(-s, 2**63 - 1)) for n, (s, c) in enumerate(sorted(scored)[:k]))
     return found
 
 
 def search(spark, rows, k=5):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
-    return {tuple(r) for r in topk.search(frame, lambda i: i % 20 == 0, k, 64).collect()}
+    return Counter(tuple(r) for r in topk.search(frame, lambda i: i % 20 == 0, k, 64).collect())
 
 
 def test_search(spark, monkeypatch):
     rng = random.Random(7)
     rows = [(i, [round(rng.gauss(0, 1), 1) for _ in range(6)]) for i in range(200)]
     rows += [(1000 + i, [0.5] * 6) for i in range(60)]  # one very common vector: ties
+    rows += [(i % 45, [round(rng.gauss(0, 2), 1) for _ in range(6)]) for i in range(90)]  # repeated ids, also of queries
+    rows += [(20, [9.0] * 6)] * 12  # more rows of a query's own id than places in its list
     assert search(spark, rows) == plain_search(rows, 5)
-    for name, size in (("TILE_NUMBERS", 24), ("SHARD_NUMBERS", 300), ("BLOCK_ROWS", 3), ("BLOCK_COLUMNS", 16)):
+    for name, size in (("TILE_NUMBERS", 24), ("SHARD_NUMBERS", 300), ("BLOCK_ROWS", 3), ("BLOCK_COLUMNS", 16), ("FAN_IN", 3)):
         monkeypatch.setattr(topk, name, size)
     assert search(spark, rows) == plain_search(rows, 5)
 
@@ -141,8 +146,9 @@ def test_search(spark, monkeypatch):
 def test_search_of_awkward_rows(spark):
     good = [(0, [1.0, 2.0]), (1, [3.0, -1.0]), (20, [1e9, 1e9]), (21, [2e9, 3e9]), (40, [1.0]), (41, [2.0])]
     bad = [(None, [1.0, 1.0]), (2, None), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [])]
-    assert search(spark, good + bad + [(1, [3.0, -1.0])]) == plain_search(good, 5)
-    assert search(spark, []) == set()
+    assert search(spark, good + bad + [(1, [3.0, -1.0])]) == plain_search(good + [(1, [3.0, -1.0])], 5)
+    assert search(spark, [(3, [1.0, 0.0]), (3, [5.0, 0.0]), (20, [1.0, 0.0])]) == {(20, 1, 3, 64 * 64 * 5): 1, (20, 2, 3, 64 * 64): 1}
+    assert search(spark, []) == Counter()
 
 
 def canonical(spark, text):
