@@ -37,7 +37,9 @@ WITH d_customers AS (
            o_totalprice AS total_amount
     FROM orders
 ), d_items AS (
-    SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
+    SELECT (l_orderkey * 100 + l_linenumber) * 1000 + row_number() OVER (
+               PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_quantity, l_extendedprice) AS order_item_id,
+           l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
            l_extendedprice / l_quantity AS unit_price, l_extendedprice AS line_amount
     FROM lineitem
 ), d_payments AS (
@@ -159,6 +161,11 @@ def random_keys(source: str, key: str, k: int, seed: int) -> str:
     return f"SELECT {key} FROM {source} ORDER BY md5('{seed}:' || {key}), {key} LIMIT {k}"
 
 
+STORED_LOG = f"""{EVENTS}
+    SELECT entity, 'shop.public.' || entity AS kafka_topic, part AS kafka_partition, event_id AS kafka_offset,
+           CASE WHEN event_id % 50 = 4 THEN 'u' ELSE op END AS op, true AS timed
+    FROM log WHERE event_id % 50 NOT IN (1, 2, 3)"""
+
 ORACLE_SQL: dict[str, str] = {
     "orders_summary": f"""{DOMAIN}
         SELECT o.status, count(*) AS order_count, {money_sum('o.total_amount')} AS revenue,
@@ -273,6 +280,7 @@ ORACLE_SQL: dict[str, str] = {
     "cdc_op_counts": f"{EVENTS} SELECT entity, op, count(*) AS events FROM log GROUP BY 1, 2",
     "cdc_current_state": CURRENT_ORDERS,
     "cdc_state_streamed": CURRENT_ORDERS,
+    "cdc_state_stateful": CURRENT_ORDERS,
     "cdc_state_customers": current(
         "customers",
         "user_id AS customer_id, 'user ' || user_id AS customer_name, 'city ' || (k % 8) AS city, "
@@ -341,7 +349,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT 'customers' AS table_name, coalesce(max(customer_id), 0) + 1 AS next_key FROM d_customers
         UNION ALL SELECT 'products', coalesce(max(product_id), 0) + 1 FROM d_products
         UNION ALL SELECT 'orders', coalesce(max(order_id), 0) + 1 FROM d_orders
-        UNION ALL SELECT 'order_items', 1
+        UNION ALL SELECT 'order_items', coalesce(max(order_item_id), 0) + 1 FROM d_items
         UNION ALL SELECT 'payments', coalesce(max(payment_id), 0) + 1 FROM d_payments""",
     "new_order_bundle": f"""{DOMAIN}, bought AS (
             SELECT event_id AS cart, user_id AS customer_id, ts AS order_ts,
@@ -359,7 +367,7 @@ ORACLE_SQL: dict[str, str] = {
                    (SELECT coalesce(max(order_id), 0) FROM d_orders) + row_number() OVER (ORDER BY cart) AS order_id
             FROM lines GROUP BY cart, customer_id, order_ts),
         items AS (
-            SELECT order_id, row_number() OVER (ORDER BY order_id, product_id) AS item_id
+            SELECT order_id, (SELECT coalesce(max(order_item_id), 0) FROM d_items) + row_number() OVER (ORDER BY order_id, product_id) AS item_id
             FROM lines JOIN placed USING (cart)),
         held AS (
             SELECT order_id, count(*) AS items, min(item_id) AS first_item, max(item_id) AS last_item
@@ -389,34 +397,45 @@ ORACLE_SQL: dict[str, str] = {
             SELECT product_id FROM d_products GROUP BY 1 HAVING count(*) > 1)
         UNION ALL SELECT 'unique_orders_order_id', count(*) FROM (
             SELECT order_id FROM d_orders GROUP BY 1 HAVING count(*) > 1)
-        UNION ALL SELECT 'unique_order_items_order_item_id', 0
+        UNION ALL SELECT 'unique_order_items_order_item_id', count(*) FROM (
+            SELECT order_item_id FROM d_items GROUP BY 1 HAVING count(*) > 1)
         UNION ALL SELECT 'unique_payments_payment_id', count(*) FROM (
             SELECT payment_id FROM d_payments GROUP BY 1 HAVING count(*) > 1))
         SELECT check_name, failures, failures <> 0 AS should_warn, failures <> 0 AS should_error FROM failures""",
     "dq_not_null_tables": f"""{DOMAIN}, failures AS ({" UNION ALL ".join(
         f"SELECT 'not_null_{name}_{column}' AS check_name, count(*) - count({column}) AS failures FROM {table}"
-        if column != "order_item_id" else f"SELECT 'not_null_{name}_{column}' AS check_name, count(*) AS failures FROM {table}"
         for name, (table, columns) in COLUMNS.items() for column in columns.split())})
         SELECT check_name, failures, failures <> 0 AS should_warn, failures <> 0 AS should_error FROM failures""",
-    "cdc_closed_loop": f"""{DOMAIN}, items AS (
-            SELECT l_orderkey * 100 + l_linenumber AS id, max(l_orderkey) AS order_id, max(l_partkey) AS product_id
-            FROM lineitem GROUP BY 1)
+    "cdc_closed_loop": f"""{DOMAIN}
         SELECT 'customers' AS entity, customer_id AS key,
                CASE WHEN customer_id % 5 = 0 THEN 'Gold' ELSE loyalty_tier END AS state FROM d_customers
         UNION ALL SELECT 'products', product_id, category FROM d_products WHERE product_id % 13 <> 0
         UNION ALL SELECT 'orders', order_id, CASE WHEN order_id % 7 = 0 THEN 'refunded' WHEN status = 'placed' THEN 'shipped'
                                                   ELSE status END FROM d_orders WHERE order_id % 11 <> 0
-        UNION ALL SELECT 'order_items', id, CAST(product_id AS VARCHAR) FROM items WHERE order_id % 11 <> 0
+        UNION ALL SELECT 'order_items', order_item_id, CAST(product_id AS VARCHAR) FROM d_items WHERE order_id % 11 <> 0
         UNION ALL SELECT 'payments', payment_id, CASE WHEN order_id % 7 = 0 THEN 'refunded' ELSE payment_status END
         FROM d_payments""",
+    "kept_marts": f"""{DOMAIN}, kept_orders AS (
+            SELECT order_id, customer_id, order_ts,
+                   CASE WHEN order_id % 5 = 0 AND status = 'placed' THEN 'canceled' ELSE status END AS status,
+                   CASE WHEN order_id % 4 = 0 THEN total_amount + 16 ELSE total_amount END AS total_amount
+            FROM d_orders WHERE order_id % 11 <> 0 AND order_id % 7 <> 0),
+        kept_customers AS (
+            SELECT customer_id, CASE WHEN customer_id % 10 = 3 THEN 'NATION_0' ELSE city END AS city
+            FROM d_customers WHERE customer_id % 17 <> 0),
+        labelled AS (
+            SELECT 'hourly_kpis' AS mart, strftime(date_trunc('hour', order_ts), '%Y-%m-%d %H:%M:%S') AS label, {KEPT} AS amount, {KEPT_ONLY} AS counted
+            FROM kept_orders o
+            UNION ALL SELECT 'orders_summary', status, total_amount, total_amount FROM kept_orders WHERE status IS NOT NULL
+            UNION ALL SELECT 'revenue_by_city', city, {KEPT}, {KEPT_ONLY} FROM kept_orders o JOIN kept_customers USING (customer_id))
+        SELECT mart, label, count(*) AS orders, {money_sum('amount')} AS revenue, {money_avg('counted')} AS avg_order_value
+        FROM labelled GROUP BY mart, label""",
     "cdc_quarantine": f"""{EVENTS}
         SELECT entity, CASE event_id % 50 WHEN 2 THEN 'invalid json' WHEN 3 THEN 'invalid utf-8'
                                           ELSE 'missing or unreadable key' END AS reason, count(*) AS messages
         FROM log WHERE event_id % 50 IN (2, 3, 4) GROUP BY 1, 2""",
-    "cdc_log_stored": f"""{EVENTS}
-        SELECT entity, 'shop.public.' || entity AS kafka_topic, part AS kafka_partition, event_id AS kafka_offset,
-               CASE WHEN event_id % 50 = 4 THEN 'u' ELSE op END AS op, true AS timed
-        FROM log WHERE event_id % 50 NOT IN (1, 2, 3)""",
+    "cdc_log_stored": STORED_LOG,
+    "cdc_log_deduplicated": STORED_LOG,
     "load_counts": f"""{DOMAIN}
         SELECT 'customers' AS table_name, count(*) AS row_count FROM d_customers
         UNION ALL SELECT 'products', count(*) FROM d_products

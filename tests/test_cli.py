@@ -19,7 +19,7 @@ def test_commands(spark, tmp_path, capsys):
     landed, store, built, out = (str(tmp_path / n) for n in ("in", "store", "marts", "page"))
     for name, entity in ENTITIES.items():
         capture.snapshot_events(getattr(source, name), entity, "shop.public").write.mode("append").parquet(landed)
-    main(["ingest", store, "--checkpoint", f"{store}/checkpoint", "--files", landed, "--buckets", "2"])
+    main(["ingest", store, "--checkpoint", f"{store}/checkpoint", "--files", landed])
     main(["build", store, built])
     with pytest.raises(CheckFailed, match="not_null_revenue_by_city_city"):
         main(["check", built])

@@ -30,7 +30,7 @@ def test_snapshot_then_changes_through_a_store(spark, tmp_path):
         "order_items": before.order_items.where("order_id is not null"),
         "payments": mutations.refund_payments(before.payments, orders),
     }
-    store = ChangeStore(spark, str(tmp_path / "store"), buckets=4)
+    store = ChangeStore(spark, str(tmp_path / "store"))
     valid = {
         "orders": before.orders.where("customer_id is not null"),
         "order_items": before.order_items.where("order_id is not null"),
@@ -55,7 +55,7 @@ def test_snapshot_then_changes_through_a_store(spark, tmp_path):
 def test_captures_through_landed_files(spark, tmp_path):
     source = tables(spark).products
     versions = [source, mutations.uplift_prices(source), source.where("product_id <> 3")]
-    store = ChangeStore(spark, str(tmp_path / "store"), buckets=2)
+    store = ChangeStore(spark, str(tmp_path / "store"))
     for number, version in enumerate(versions):
         events = (
             capture.diff_events(versions[number - 1], version, ENTITIES["products"], "p", capture=number)

@@ -37,7 +37,7 @@ def test_streamed_in_batches(spark, root, tmp_path):
     messages = random_messages(3, count=240)
     for start in range(0, 240, 80):
         land(spark, tmp_path / "in", messages[start : start + 80])
-    store = ChangeStore(spark, root, buckets=4)
+    store = ChangeStore(spark, root)
     source = file_stream(spark, str(tmp_path / "in"), files_per_batch=1)
     ingest_available(source, store, f"{root}/checkpoint")
     assert order_rows(store.current("orders")) == fold_orders(messages)
@@ -58,7 +58,7 @@ def test_streamed_in_batches(spark, root, tmp_path):
 
 def test_continuous_query_stops(spark, root, tmp_path):
     land(spark, tmp_path / "in", [upsert("orders", 0, {"order_id": 1, "customer_id": 1})])
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     query = start_ingest(file_stream(spark, str(tmp_path / "in")), store, f"{root}/checkpoint", "1 second")
     query.processAllAvailable()
     query.stop()
@@ -67,7 +67,7 @@ def test_continuous_query_stops(spark, root, tmp_path):
 
 
 def test_replayed_batch_is_skipped(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     batch = frame(spark, [upsert("orders", 0, {"order_id": 1, "customer_id": 1})])
     assert store.apply_batch(batch, 0, "s")
     assert not store.apply_batch(batch, 0, "s")
@@ -77,7 +77,7 @@ def test_replayed_batch_is_skipped(spark, root):
 
 
 def test_topic_that_counts_from_0_again(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     rows = [upsert("orders", 500, {"order_id": 1, "customer_id": 1}), delete("orders", 501, 2)]
     store.apply_batch(frame(spark, rows), 0, "first")
     rows = [upsert("orders", i, {"order_id": i, "customer_id": 7}) for i in (1, 2)]
@@ -87,7 +87,7 @@ def test_topic_that_counts_from_0_again(spark, root):
 
 def test_each_message_counts_once_in_any_order(spark, root):
     """Offsets that come late are applied; messages that come again, in a batch or later, are not."""
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     late = upsert("orders", 5, {"order_id": 2, "customer_id": 2})
     first = upsert("orders", 10, {"order_id": 1, "customer_id": 1})
     second = upsert("orders", 11, {"order_id": 1, "customer_id": 3})
@@ -101,7 +101,7 @@ def test_each_message_counts_once_in_any_order(spark, root):
 
 
 def test_topics_do_not_share_offsets(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     one = upsert("orders", 100, {"order_id": 1, "customer_id": 1})
     other = ("b.orders", *upsert("orders", 3, {"order_id": 1, "customer_id": 2})[1:])
     store.apply_batch(frame(spark, [one]), 0)
@@ -110,7 +110,7 @@ def test_topics_do_not_share_offsets(spark, root):
 
 
 def test_latest_events_when_the_clock_goes_back(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     for number in range(3):
         batch = [upsert("orders", 10 * number + i, {"order_id": i, "customer_id": 1}) for i in range(3)]
         store.apply_batch(frame(spark, batch), number)
@@ -124,19 +124,19 @@ def test_latest_events_when_the_clock_goes_back(spark, root):
 
 
 def test_failed_batch_is_invisible_and_repeatable(spark, root, monkeypatch):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     first = [upsert("orders", 0, {"order_id": 1, "customer_id": 1}), upsert("products", 0, {"product_id": 1})]
     second = [delete("orders", 1, 1), upsert("products", 1, {"product_id": 2})]
     store.apply_batch(frame(spark, first), 0)
 
-    merge = ChangeStore._merge
+    append = ChangeStore._append
 
-    def fail_on_products(self, batch, commit, entity, number):
+    def fail_on_products(self, batch, commit, entity):
         if entity.name == "products":
             raise RuntimeError("lost")
-        return merge(self, batch, commit, entity, number)
+        append(self, batch, commit, entity)
 
-    monkeypatch.setattr(ChangeStore, "_merge", fail_on_products)
+    monkeypatch.setattr(ChangeStore, "_append", fail_on_products)
     with pytest.raises(RuntimeError):
         store.apply_batch(frame(spark, second), 1)
     assert (store.log().count(), store.current("orders").count()) == (2, 1)
@@ -145,19 +145,34 @@ def test_failed_batch_is_invisible_and_repeatable(spark, root, monkeypatch):
     assert (store.log().count(), store.current("orders").count(), store.current("products").count()) == (4, 0, 2)
 
 
-def test_only_touched_buckets_are_rewritten(spark, root):
-    store = ChangeStore(spark, root, buckets=8)
-    many = [upsert("customers", i, {"customer_id": i}) for i in range(40)]
+def test_a_batch_writes_what_it_changes(spark, root):
+    store = ChangeStore(spark, root)
+    many = [upsert("customers", i, {"customer_id": i}) for i in range(400)]
     store.apply_batch(frame(spark, many), 0)
-    store.apply_batch(frame(spark, [upsert("customers", 40, {"customer_id": 3, "city": "x"})]), 1)
-    versions = store.commit().versions["customers"]
-    assert sorted(versions.values()).count(1) == 1 and len(versions) == 8
+    few = [upsert("customers", 400 + i, {"customer_id": 3 + i % 4, "city": f"x{i}"}) for i in range(12)]
+    store.apply_batch(frame(spark, few), 1)
+    assert store.commit().parts["customers"] == [["0", 400], ["1", 4]]
     rows = {r["customer_id"]: r["city"] for r in store.current("customers").collect()}
-    assert len(rows) == 40 and rows[3] == "x"
+    assert len(rows) == 400 and [rows[i] for i in (3, 4, 5, 6, 7)] == ["x8", "x9", "x10", "x11", None]
+
+
+def test_tables_are_rewritten_when_they_are_outgrown(spark, root, monkeypatch):
+    store = ChangeStore(spark, root)
+    store.apply_batch(frame(spark, [upsert("customers", i, {"customer_id": i}) for i in range(6)]), 0)
+    store.apply_batch(frame(spark, [delete("customers", 6 + i, i) for i in range(4)]), 1)
+    assert [p for p, _ in store.commit().parts["customers"]] == ["0", "1"]
+    store.apply_batch(frame(spark, [upsert("customers", 20 + i, {"customer_id": 3 + i}) for i in range(3)]), 2)
+    assert store.commit().parts["customers"] == [["2-whole", 3]]  # deleted keys are gone
+    assert sorted(r["customer_id"] for r in store.current("customers").collect()) == [3, 4, 5]
+    monkeypatch.setattr(store_module, "MOST_PARTS", 2)
+    for number in range(3, 6):
+        store.apply_batch(frame(spark, [upsert("customers", 30 + number, {"customer_id": 5, "city": str(number)})]), number)
+    assert len(store.commit().parts["customers"]) <= 2
+    assert {r["customer_id"]: r["city"] for r in store.current("customers").collect()} == {3: None, 4: None, 5: "5"}
 
 
 def test_log_is_a_superset_of_what_is_applied(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     batch = [
         message("orders", 0, None),
         message("orders", 1, "{bad"),
@@ -175,7 +190,7 @@ def test_log_is_a_superset_of_what_is_applied(spark, root):
 
 
 def test_batch_without_anything_to_apply(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     assert store.apply_batch(frame(spark, []), 0)
     assert store.apply_batch(frame(spark, [message("orders", 0, "{bad")]), 1)
     assert store.current("orders").count() == 0
@@ -183,7 +198,7 @@ def test_batch_without_anything_to_apply(spark, root):
 
 
 def test_latest_events_over_several_batches(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     for number in range(3):
         batch = [upsert("orders", 10 * number + i, {"order_id": i, "customer_id": 1}) for i in range(4)]
         store.apply_batch(frame(spark, batch), number)
@@ -192,7 +207,7 @@ def test_latest_events_over_several_batches(spark, root):
 
 
 def test_vacuum_keeps_what_is_in_use(spark, root):
-    store = ChangeStore(spark, root, buckets=4)
+    store = ChangeStore(spark, root)
     messages = random_messages(5, count=120)
     for number in range(4):
         store.apply_batch(frame(spark, messages[30 * number : 30 * number + 30]), number)
@@ -205,7 +220,7 @@ def test_vacuum_keeps_what_is_in_use(spark, root):
 
 def test_commit_size_is_bounded(spark, root, monkeypatch):
     monkeypatch.setattr(store_module, "_RECENT_BATCHES", 2)
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     for number in range(3):
         store.apply_batch(frame(spark, [upsert("orders", number, {"order_id": 1, "customer_id": 1})]), number)
     assert len(store.commit().recent) == 2
@@ -213,7 +228,7 @@ def test_commit_size_is_bounded(spark, root, monkeypatch):
 
 
 def test_views_and_missing_tables(spark, root):
-    store = ChangeStore(spark, root, buckets=2)
+    store = ChangeStore(spark, root)
     for name in ("orders_current", "raw_cdc_events"):
         spark.catalog.dropTempView(name)
     assert "orders_current" in missing_tables(spark)

@@ -17,7 +17,7 @@ from tidemark.plans import dashboard, marts
 from tidemark.session import build_session
 from tidemark.sources import changes
 from tidemark.streaming.ingest import start_ingest
-from tidemark.streaming.store import DEFAULT_BUCKETS, ChangeStore
+from tidemark.streaming.store import ChangeStore
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,7 +32,7 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--kafka", metavar="SERVERS")
     source.add_argument("--files", metavar="FOLDER")
     ingest.add_argument("--topic-prefix", help="with --kafka: topics are <prefix>.<entity>")
-    ingest.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="for a new store")
+    ingest.add_argument("--keep-marts", action="store_true", help="bring hourly, status and city figures up to date with every batch")
     ingest.add_argument("--interval", help='run on, e.g. "30 seconds"; by default take what is there and end')
 
     build = commands.add_parser("build")
@@ -71,8 +71,8 @@ def main(argv: list[str] | None = None) -> None:
             messages = changes.kafka_stream(spark, args.kafka, changes.topics(args.topic_prefix))
         else:
             messages = changes.file_stream(spark, args.files)
-        store = ChangeStore(spark, args.store, args.buckets)
-        query = start_ingest(messages, store, args.checkpoint, args.interval)
+        store = ChangeStore(spark, args.store, keep_marts=args.keep_marts)
+        query = start_ingest(messages, store, args.checkpoint, args.interval, repeats=not args.kafka)
         try:
             query.awaitTermination()
         except KeyboardInterrupt:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidemark.operators.decode import DELETE, POSITION, UPSERT
 from tidemark.schemas import Entity
 
-DELETED, TOPIC, PARTITION, OFFSET = "_deleted", "_topic", "_partition", "_offset"
+DELETED, TOPIC, PARTITION, OFFSET, BATCH = "_deleted", "_topic", "_partition", "_offset", "_batch"
 
 
 def version_schema(entity: Entity) -> T.StructType:
@@ -25,6 +25,18 @@ def version_schema(entity: Entity) -> T.StructType:
     )
 
 
+def part_schema(entity: Entity) -> T.StructType:
+    """A stored row of an appended part: with the batch it comes from."""
+    return T.StructType([*version_schema(entity).fields, T.StructField(BATCH, T.LongType())])
+
+
+def latest_parts(parts: DataFrame, entity: Entity) -> DataFrame:
+    """One row per key out of parts with one row per key and batch: that of the latest batch."""
+    columns = [c for c in part_schema(entity).fieldNames() if c != entity.key]
+    folded = parts.groupBy(entity.key).agg(F.max_by(F.struct(*columns), F.col(BATCH)).alias("row"))
+    return folded.select(entity.key, "row.*")
+
+
 def versioned_columns(entity: Entity) -> list[str]:
     return version_schema(entity).fieldNames()
 
@@ -59,33 +71,16 @@ def live_rows(versioned: DataFrame, entity: Entity) -> DataFrame:
     return versioned.where(~F.col(DELETED)).select(*entity.column_names)
 
 
-def merge_versions(
-    stored: DataFrame, incoming: DataFrame, entity: Entity, cluster_by: str | None = None
-) -> DataFrame:
+def merge_versions(stored: DataFrame, incoming: DataFrame, entity: Entity) -> DataFrame:
     """Stored rows with incoming ones put on top; both hold at most one row per key.
 
     A later batch wins, whatever its topics and offsets: every message that is processed counts, in the order
     of processing. Redelivered messages are no part of `incoming`: the log leaves them out. Deleted
     keys stay as marked rows.
-    With `cluster_by`, a column that is a function of the key, rows are shuffled once by it and
-    come out in its order, ready for a partitioned write.
     """
-    columns = [c for c in versioned_columns(entity) if c != entity.key]
-    keys = [entity.key] if cluster_by is None else [cluster_by, entity.key]
-    layout = T.StructType([f for f in version_schema(entity) if f.name != entity.key])
-
-    def side(frame: DataFrame, name: str, other: str) -> DataFrame:
-        return frame.select(*keys, F.struct(*columns).alias(name), F.lit(None).cast(layout).alias(other))
-
-    both = side(stored, "stored", "incoming").unionByName(side(incoming, "incoming", "stored"))
-    if cluster_by is not None:
-        both = both.repartition(cluster_by)
-    # Aggregating needs no second shuffle: rows of a key are already together.
-    paired = both.groupBy(*keys).agg(
-        F.first("stored", ignorenulls=True).alias("stored"),
-        F.first("incoming", ignorenulls=True).alias("incoming"),
-    )
-    return paired.select(*keys, F.coalesce("incoming", "stored").alias("row")).select(*keys, "row.*")
+    layout = versioned_columns(entity)
+    numbered = [frame.select(*layout, F.lit(n).cast("long").alias(BATCH)) for n, frame in enumerate((stored, incoming))]
+    return latest_parts(numbered[0].unionByName(numbered[1]), entity).select(*layout)
 
 
 def as_versions(state: DataFrame, entity: Entity) -> DataFrame:

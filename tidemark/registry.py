@@ -15,9 +15,10 @@ from tidemark.plans import dashboard, marts
 from tidemark.plans.dashboard import ORDER, Filters
 from tidemark.schemas import ENTITIES
 from tidemark.session import configure, scratch_path
+from tidemark.sources import changes, testdata
 from tidemark.sources import tables as table_set
-from tidemark.sources import testdata
 from tidemark.sources.tables import Tables
+from tidemark.streaming import stateful
 from tidemark.streaming.ingest import ingest_available
 from tidemark.streaming.store import ChangeStore
 
@@ -92,9 +93,9 @@ def _stored_log(spark: SparkSession, folder: str) -> DataFrame:
     return log.select("entity", "kafka_topic", "kafka_partition", "kafka_offset", "op", timed)
 
 
-def _loop_versions(tables: Tables, items: DataFrame) -> list[dict[str, DataFrame]]:
+def _loop_versions(tables: Tables) -> list[dict[str, DataFrame]]:
     """Three versions of the five tables: as they are, with progress, with refunds and dearer products."""
-    first = {name: frame for name, frame in tables.items()} | {"order_items": items}
+    first = {name: frame for name, frame in tables.items()}
     status = F.when(F.col("status") == "placed", "shipped").otherwise(F.col("status"))
     orders = first["orders"].where(F.col("order_id") % 11 != 0).withColumn("status", status)
     second = first | {
@@ -112,16 +113,11 @@ def _loop_versions(tables: Tables, items: DataFrame) -> list[dict[str, DataFrame
 
 def _closed_loop(spark: SparkSession, folder: str) -> DataFrame:
     """A snapshot and two captured changes of all tables through one stream; what the store then holds."""
-    versions = _loop_versions(testdata.load(configure(spark), folder), testdata.keyed_items(spark, folder))
+    versions = _loop_versions(testdata.load(configure(spark), folder))
     store = ChangeStore(spark, scratch_path(spark, "store"))
     shown = {"customers": "loyalty_tier", "products": "category", "orders": "status", "order_items": "product_id", "payments": "payment_status"}
-    for number, tables in enumerate(versions):
-        captured = [
-            capture.diff_events(versions[number - 1][name], tables[name], entity, testdata.TOPIC_PREFIX, capture=number)
-            if number else capture.snapshot_events(tables[name], entity, testdata.TOPIC_PREFIX)
-            for name, entity in ENTITIES.items()
-        ]
-        store.apply_batch(reduce(DataFrame.unionByName, captured), number)
+    for number, messages in enumerate(_captured(versions)):
+        store.apply_batch(messages, number, unique=True)
     current = [
         store.current(name).select(F.lit(name).alias("entity"), F.col(entity.key).alias("key"), F.col(shown[name]).cast("string").alias("state"))
         for name, entity in ENTITIES.items()
@@ -129,6 +125,71 @@ def _closed_loop(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, current)
 
 
+def _kept_versions(tables: Tables) -> list[dict[str, DataFrame]]:
+    """Three versions of orders and customers: as they are; progress and removed orders; other amounts, customers who moved or left."""
+    first = {"orders": tables.orders, "customers": tables.customers}
+    status = F.when(F.col("status") == "placed", "canceled").otherwise(F.col("status"))
+    second = first | {"orders": first["orders"].where(F.col("order_id") % 11 != 0).withColumn("status", F.when(F.col("order_id") % 5 == 0, status).otherwise(F.col("status")))}
+    amount = F.when(F.col("order_id") % 4 == 0, F.col("total_amount") + 16.0).otherwise(F.col("total_amount"))
+    third = {
+        "orders": second["orders"].where(F.col("order_id") % 7 != 0).withColumn("total_amount", amount),
+        "customers": first["customers"].where(F.col("customer_id") % 17 != 0).withColumn("city", F.when(F.col("customer_id") % 10 == 3, "NATION_0").otherwise(F.col("city"))),
+    }
+    return [first, second, third]
+
+
+def _captured(versions: list[dict[str, DataFrame]]) -> list[DataFrame]:
+    """The snapshot of the first version and what changes to the later ones, all tables together."""
+    found = []
+    for number, tables in enumerate(versions):
+        captured = [
+            capture.diff_events(versions[number - 1][name], frame, ENTITIES[name], testdata.TOPIC_PREFIX, capture=number)
+            if number else capture.snapshot_events(frame, ENTITIES[name], testdata.TOPIC_PREFIX)
+            for name, frame in tables.items()
+        ]
+        found.append(reduce(DataFrame.unionByName, captured))
+    return found
+
+
+def _kept_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """Marts that three captured batches have kept up to date, never built from the tables."""
+    store = ChangeStore(spark, scratch_path(spark, "store"), keep_marts=True)
+    for number, messages in enumerate(_captured(_kept_versions(testdata.load(configure(spark), folder)))):
+        store.apply_batch(messages, number, unique=True)
+    found = []
+    for name, (group, orders) in {"hourly_kpis": ("order_hour", "orders"), "orders_summary": ("status", "order_count"), "revenue_by_city": ("city", "orders")}.items():
+        mart = store.kept_mart(name)
+        label = F.date_format(group, "yyyy-MM-dd HH:mm:ss") if name == "hourly_kpis" else F.col(group)
+        found.append(mart.select(F.lit(name).alias("mart"), label.alias("label"), F.col(orders).alias("orders"), "revenue", "avg_order_value"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _landed(messages: DataFrame, name: str, files: int) -> str:
+    """Messages in files of ascending offsets, as a connector lands them."""
+    path = scratch_path(messages.sparkSession, name)
+    messages.repartitionByRange(files, "offset").write.parquet(path)
+    return path
+
+
+def _stateful_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders that a query holds in its state after four batches of landed messages."""
+    landed = _landed(testdata.messages(configure(spark), folder), "landed", 4)
+    written = scratch_path(spark, "state-rows")
+    query = stateful.start_state(changes.file_stream(spark, landed, files_per_batch=1), ORDERS, written, scratch_path(spark, "state-checkpoint"))
+    query.awaitTermination()
+    return stateful.read_state(spark, ORDERS, written)
+
+
+def _deduplicated_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of landed messages with repeats within a batch and in later batches, each let through once by the query's state."""
+    messages = testdata.flawed_messages(testdata.events(configure(spark), folder))
+    landed = _landed(messages, "landed", 3)
+    messages.where(F.col("offset") % 7 == 0).coalesce(1).write.mode("append").parquet(landed)
+    store = ChangeStore(spark, scratch_path(spark, "store"))
+    ingest_available(changes.file_stream(spark, landed, files_per_batch=1), store, scratch_path(spark, "log-checkpoint"))
+    return store.log().select("entity", "kafka_topic", "kafka_partition", "kafka_offset", "op", F.col("processed_at").isNotNull().alias("timed"))
+
+
 def _op_counts(spark: SparkSession, folder: str) -> DataFrame:
     log = _log(spark, folder)
     return log.groupBy("entity", "op").agg(F.count(F.lit(1)).alias("events"))
@@ -315,7 +376,10 @@ QUERIES: dict[str, Query] = {
     "cdc_state_order_items": _state("order_items"),
     "cdc_state_payments": _state("payments"),
     "cdc_state_streamed": _streamed_orders,
+    "cdc_state_stateful": _stateful_orders,
     "cdc_closed_loop": _closed_loop,
+    "cdc_log_deduplicated": _deduplicated_log,
+    "kept_marts": _kept_marts,
     "cdc_quarantine": _quarantined,
     "cdc_log_stored": _stored_log,
     "cdc_snapshot_events": _on_tables(_snapshot),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import time
@@ -27,13 +27,13 @@ SCHEMAS = {
     "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_retailprice DOUBLE",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
     "o_orderdate TIMESTAMP_NTZ",
-    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE",
+    "lineitem": "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 
 
-def _table(spark: SparkSession, folder: str, name: str, *more: str) -> DataFrame:
-    return spark.read.schema(", ".join([SCHEMAS[name], *more])).parquet(f"{folder}/{name}.parquet")
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,9 +85,14 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines have no natural key here, so order_item_id stays empty."""
-    return _table(spark, folder, "lineitem").select(
-        F.lit(None).cast("long").alias("order_item_id"),
+    """Lines under keys of their own: the order's number, the line's, and its place among lines that have the same of both.
+
+    Queries that do not use the key do without the sorting.
+    """
+    lines = _table(spark, folder, "lineitem")
+    place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_quantity", "l_extendedprice"))
+    return lines.select(
+        ((F.col("l_orderkey") * 100 + F.col("l_linenumber")) * 1000 + place).cast("long").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("long").alias("quantity"),
@@ -96,18 +101,6 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def keyed_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines under made-up keys: the order's number and the line's place, repeated lines once."""
-    lines = _table(spark, folder, "lineitem", "l_linenumber INT")
-    return lines.groupBy((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("order_item_id")).agg(
-        F.max("l_orderkey").alias("order_id"),
-        F.max("l_partkey").alias("product_id"),
-        F.max("l_quantity").cast("long").alias("quantity"),
-        F.lit(1.5).alias("unit_price"),
-        F.max("l_extendedprice").alias("line_amount"),
-    )
-
-
 def load(spark: SparkSession, folder: str) -> Tables:
     return Tables(
         customers=lambda: customers(spark, folder),

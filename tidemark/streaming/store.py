@@ -1,13 +1,17 @@
-"""Change log and current tables on plain parquet, updated batch by batch.
+"""Change log and current tables on plain parquet, grown batch by batch.
 
 Layout below the root:
 
     log/batch=<n>/route=<log|quarantine>/entity=<e>/   one batch of messages, in one write
-    state/<entity>/version=<n>/bucket=<b>/             the bucket as rewritten by batch n
-    commits/<n>.json                                   which version of each bucket is current
+    parts/<table>/<n>/                                 what batch n changed, one row per key
+    parts/<table>/<n>-whole/                           the whole table after batch n
+    commits/<n>.json                                   which parts make up each table
 
-Keys are hashed into a fixed number of buckets, and a batch rewrites only the buckets it touches.
-A batch becomes visible when its commit file appears, after the log and all tables are written; a
+A batch appends the last change of each key it touches; readers put the parts of a table together, the latest
+change of a key counting. When the appended rows outgrow the table, or there are many parts, the batch also writes
+the table as a whole, without deleted keys. So a batch costs what it changes, and a rewrite what was appended since the last.
+
+A batch becomes visible when its commit file appears, after the log and all parts are written; a
 batch that failed half-way is written again to the same folders. A commit also holds the last
 batch of each stream, so a batch delivered again is skipped. A message delivered again in another
 batch, which means equal topic, partition and offset, is left out of the log and so of the tables.
@@ -16,11 +20,12 @@ batch, which means equal topic, partition and offset, is left out of the log and
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +34,10 @@ from tidemark.plans import dashboard
 from tidemark.schemas import ENTITIES, LOG_COLUMNS, LOG_SCHEMA, Entity
 from tidemark.sources.files import Folder
 from tidemark.sources.tables import Tables
+from tidemark.streaming import keeping
 
-DEFAULT_BUCKETS = 64
+#: Parts after which a table is written as a whole, however small they are.
+MOST_PARTS = 24
 _RECENT_BATCHES = 64
 
 _ROUTED_SCHEMA = T.StructType(
@@ -46,12 +53,11 @@ _ROUTED_SCHEMA = T.StructType(
 
 @dataclass
 class Commit:
-    """What is current after a batch. Its size is bounded by entities x buckets and partitions."""
+    """What is current after a batch. Its size is bounded by tables x parts and by partitions."""
 
     number: int = -1
-    buckets: int = DEFAULT_BUCKETS
-    # entity -> bucket -> number of the batch that wrote it
-    versions: dict[str, dict[str, int]] = field(default_factory=dict)
+    # table -> its parts, oldest first: folder name and rows
+    parts: dict[str, list[list]] = field(default_factory=dict)
     # stream id -> its last batch id
     streams: dict[str, int] = field(default_factory=dict)
     # topic -> partition -> lowest and highest offset in the log
@@ -60,6 +66,11 @@ class Commit:
     recent: list[tuple[int, int]] = field(default_factory=list)
 
 
+def outgrown(parts: list[list]) -> bool:
+    """Whether the rows appended to a table outnumber those of its first part, or there are many parts."""
+    return len(parts) > MOST_PARTS or sum(rows for _, rows in parts[1:]) > parts[0][1] if parts else False
+
+
 class ChangeStore:
     """A root folder with one writer at a time; any number of readers.
 
@@ -67,10 +78,11 @@ class ChangeStore:
     name, as its messages would be taken for the old ones.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, keep_marts: bool = False):
+        """With `keep_marts`, batches also bring the marts of `plans.kept` up to date."""
         self.spark = spark
         self.folder = Folder(spark, root)
-        self._new_buckets = buckets
+        self.keep_marts = keep_marts
 
     # Commits
 
@@ -80,7 +92,7 @@ class ChangeStore:
     def commit(self) -> Commit:
         numbers = self.commit_numbers()
         if not numbers:
-            return Commit(buckets=self._new_buckets)
+            return Commit()
         return self._read_commit(max(numbers))
 
     def _read_commit(self, number: int) -> Commit:
@@ -90,8 +102,7 @@ class ChangeStore:
 
     def current(self, name: str) -> DataFrame:
         """Current rows of an entity; an empty table before its first change."""
-        entity = ENTITIES[name]
-        return state.live_rows(self._versions(self.commit(), entity), entity)
+        return self._current(self.commit(), ENTITIES[name])
 
     def tables(self) -> Tables:
         return Tables(**{name: self.current(name) for name in ENTITIES})
@@ -102,18 +113,25 @@ class ChangeStore:
             self.current(name).createOrReplaceTempView(entity.table)
         self.log().createOrReplaceTempView("raw_cdc_events")
 
-    def _versions(self, commit: Commit, entity: Entity, buckets: list[int] | None = None) -> DataFrame:
-        """Stored rows, deleted ones included, of all or of the given buckets."""
-        known = commit.versions.get(entity.name, {})
-        wanted = known if buckets is None else {str(b): known[str(b)] for b in buckets if str(b) in known}
-        layout = state.version_schema(entity).add("bucket", T.IntegerType())
-        if not wanted:
+    def kept_mart(self, name: str) -> DataFrame:
+        """A mart as the batches have kept it."""
+        return keeping.kept_mart(self, self.commit(), name)
+
+    def _current(self, commit: Commit, entity: Entity, only: DataFrame | None = None) -> DataFrame:
+        """Current rows, if wanted only those whose keys are in `only`."""
+        parts = commit.parts.get(entity.name, [])
+        stored = self.read_parts(entity.name, parts, state.part_schema(entity))
+        if only is not None:
+            stored = stored.join(only.select(entity.key), entity.key, "left_semi")
+        if len(parts) > 1:
+            stored = state.latest_parts(stored, entity)
+        return state.live_rows(stored, entity)
+
+    def read_parts(self, table: str, parts: list[list], layout: T.StructType) -> DataFrame:
+        paths = [self.folder.path("parts", table, part) for part, _ in parts]
+        if not paths:
             return self.spark.createDataFrame([], layout)
-        paths = [
-            self.folder.path("state", entity.name, f"version={v}", f"bucket={b}") for b, v in wanted.items()
-        ]
-        base = self.folder.path("state", entity.name)
-        return self.spark.read.schema(layout).option("basePath", base).parquet(*paths)
+        return self.spark.read.schema(layout).parquet(*paths)
 
     def _routed(self, commit: Commit) -> DataFrame:
         if not self.folder.exists("log"):
@@ -157,8 +175,11 @@ class ChangeStore:
 
     # Writing
 
-    def apply_batch(self, messages: DataFrame, batch_id: int, stream: str = "batch") -> bool:
-        """Log and apply one batch; False if this stream's batch was committed before."""
+    def apply_batch(self, messages: DataFrame, batch_id: int, stream: str = "batch", unique: bool = False) -> bool:
+        """Log and apply one batch; False if this stream's batch was committed before.
+
+        `unique` promises that no message is in the batch twice, which then is not looked into.
+        """
         commit = self.commit()
         if commit.streams.get(stream, -1) >= batch_id:
             return False
@@ -166,25 +187,52 @@ class ChangeStore:
         self._write_log(decode.route_messages(messages), "log", f"batch={number}")
         batch = self._read_log("log", f"batch={number}")
         marks = self._marks(batch)
-        if self._holds_repeats(batch, marks, commit):
+        if self._holds_repeats(batch, marks, commit, unique):
             self._drop_repeats(batch, marks, commit, number)
             batch = self._read_log("log", f"batch={number}")
             marks = self._marks(batch)
         logged = self._note(marks, commit)
         present = set(self.folder.names("log", f"batch={number}", f"route={decode.LOG}"))
         changed = [e for e in ENTITIES.values() if f"entity={e.name}" in present]
-        # The tables are independent of each other: their jobs run side by side.
-        with ThreadPoolExecutor(max_workers=len(ENTITIES)) as pool:
-            merge = inheritable_thread_target(self.spark)(self._merge)
-            touched = list(pool.map(lambda e: merge(batch, commit, e, number), changed))
-        for entity, buckets in zip(changed, touched):
-            commit.versions.setdefault(entity.name, {}).update({str(b): number for b in buckets})
-        commit.number = number
+        after = Commit(number, {name: list(parts) for name, parts in commit.parts.items()})
+        self.side_by_side(lambda e: self._append(batch, after, e), changed)
+        if self.keep_marts:
+            keeping.keep_marts(self, commit, after)
+            keeping.rewrite(self, after, outgrown)
+        self.side_by_side(lambda e: self._rewrite(after, e), changed)
+        commit.number, commit.parts = number, after.parts
         commit.streams[stream] = batch_id
         commit.recent = [*commit.recent, (number, logged)][-_RECENT_BATCHES:]
         self.folder.publish_text(json.dumps(asdict(commit)), "commits", f"{number:012d}.json")
         return True
 
+    def side_by_side(self, step: Callable, tables: Sequence) -> None:
+        """The tables are independent of each other, and so are their jobs."""
+        with ThreadPoolExecutor(max_workers=len(ENTITIES)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(step), tables))
+
+    def write_part(self, frame: DataFrame, commit: Commit, table: str, part: str) -> None:
+        """Write a part and note it in the commit if it has rows, which are counted while they are written."""
+        counted = Observation()
+        frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.folder.path("parts", table, part))
+        rows = counted.get.get("rows", 0)
+        if rows:
+            commit.parts.setdefault(table, []).append([part, rows])
+
+    def _append(self, batch: DataFrame, commit: Commit, entity: Entity) -> None:
+        """Write what a logged batch changes in an entity's table."""
+        log = batch.where((F.col("route") == decode.LOG) & (F.col("entity") == entity.name))
+        changes = state.latest_changes(decode.decode_changes(log, entity), entity)
+        self.write_part(changes.withColumn(state.BATCH, F.lit(commit.number).cast("long")), commit, entity.name, str(commit.number))
+
+    def _rewrite(self, commit: Commit, entity: Entity) -> None:
+        """Write a table as a whole, without its deleted keys, once that pays."""
+        parts = commit.parts.get(entity.name, [])
+        if outgrown(parts):
+            stored = state.latest_parts(self.read_parts(entity.name, parts, state.part_schema(entity)), entity)
+            commit.parts[entity.name] = []
+            self.write_part(stored.where(~F.col(state.DELETED)), commit, entity.name, f"{commit.number}-whole")
+
     def _write_log(self, routed: DataFrame, *parts: str) -> None:
         """One pass over the batch, no shuffle: a broker partition belongs to one entity already."""
         routed.write.mode("overwrite").partitionBy("route", "entity").parquet(self.folder.path(*parts))
@@ -210,11 +258,11 @@ class ChangeStore:
         known = commit.offsets.get(mark["kafka_topic"], {}).get(str(mark["kafka_partition"]))
         return known if known and mark["low"] <= known[1] and mark["high"] >= known[0] else None
 
-    def _holds_repeats(self, batch: DataFrame, marks: list[Row], commit: Commit) -> bool:
+    def _holds_repeats(self, batch: DataFrame, marks: list[Row], commit: Commit, unique: bool) -> bool:
         """Whether the batch may hold messages twice or messages that the log has."""
         if any(self._known_range(mark, commit) for mark in marks):
             return True
-        return not batch.groupBy(*decode.POSITION).count().where("count > 1").isEmpty()
+        return not unique and not batch.groupBy(*decode.POSITION).count().where("count > 1").isEmpty()
 
     def _drop_repeats(self, batch: DataFrame, marks: list[Row], commit: Commit, number: int) -> None:
         """Write the batch anew with each message once and none that an earlier batch logged.
@@ -245,47 +293,18 @@ class ChangeStore:
             parts[key] = [min(low, mark["low"]), max(high, mark["high"])]
         return sum(mark["logged"] for mark in marks)
 
-    def _merge(self, batch: DataFrame, commit: Commit, entity: Entity, number: int) -> list[int]:
-        """Put a logged batch on top of an entity's table; gives the rewritten buckets."""
-        log = batch.where((F.col("route") == decode.LOG) & (F.col("entity") == entity.name))
-        changes = state.latest_changes(decode.decode_changes(log, entity), entity)
-        bucket = F.pmod(F.xxhash64(entity.key), F.lit(commit.buckets)).cast("int")
-        changes = changes.withColumn("bucket", bucket).persist()
-        try:
-            touched = sorted(r["bucket"] for r in changes.select("bucket").distinct().collect())
-            if not touched:
-                return []
-            stored = self._versions(commit, entity, touched)
-            merged = state.merge_versions(stored, changes, entity, cluster_by="bucket")
-            path = self.folder.path("state", entity.name, f"version={number}")
-            merged.write.mode("overwrite").partitionBy("bucket").parquet(path)
-            return touched
-        finally:
-            changes.unpersist()
-
     def vacuum(self, keep: int = 10) -> int:
-        """Delete table versions that none of the newest `keep` commits uses; the log stays."""
+        """Delete parts that none of the newest `keep` commits uses; the log stays."""
         numbers = sorted(self.commit_numbers())
-        kept, dropped = numbers[-keep:], numbers[:-keep]
-        used: dict[str, set[tuple[int, int]]] = {}
-        for commit in map(self._read_commit, kept):
-            for name, versions in commit.versions.items():
-                used.setdefault(name, set()).update((v, int(b)) for b, v in versions.items())
+        kept_numbers, dropped = numbers[-keep:], numbers[:-keep]
+        used = {(table, part) for commit in map(self._read_commit, kept_numbers) for table, parts in commit.parts.items() for part, _ in parts}
         deleted = 0
-        for name in ENTITIES:
-            live = used.get(name, set())
-            for version in self.folder.names("state", name):
-                v = int(version.removeprefix("version="))
-                if not kept or v > kept[-1]:
-                    continue
-                if not any(v == u for u, _ in live):
-                    self.folder.delete("state", name, version)
+        for table in self.folder.names("parts"):
+            for part in self.folder.names("parts", table):
+                # Parts of a batch that is being written are newer than all commits.
+                if kept_numbers and int(part.split("-")[0]) <= kept_numbers[-1] and (table, part) not in used:
+                    self.folder.delete("parts", table, part)
                     deleted += 1
-                    continue
-                for bucket in self.folder.names("state", name, version):
-                    if bucket.startswith("bucket=") and (v, int(bucket.removeprefix("bucket="))) not in live:
-                        self.folder.delete("state", name, version, bucket)
-                        deleted += 1
         for number in dropped:
             self.folder.delete("commits", f"{number:012d}.json")
         return deleted
