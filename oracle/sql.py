@@ -161,6 +161,16 @@ def random_keys(source: str, key: str, k: int, seed: int) -> str:
     return f"SELECT {key} FROM {source} ORDER BY md5('{seed}:' || {key}), {key} LIMIT {k}"
 
 
+VERSION_CHANGES = """
+    SELECT CASE WHEN n.order_id IS NULL THEN 'delete' ELSE 'upsert' END AS action,
+           CASE WHEN n.order_id IS NULL THEN 'd' WHEN o.order_id IS NULL THEN 'c' ELSE 'u' END AS op,
+           coalesce(n.order_id, o.order_id) AS order_id,
+           n.customer_id, n.order_ts, n.status, n.total_amount
+    FROM old_orders o FULL JOIN new_orders n ON o.order_id = n.order_id
+    WHERE o.order_id IS NULL OR n.order_id IS NULL OR o.customer_id IS DISTINCT FROM n.customer_id
+       OR o.order_ts IS DISTINCT FROM n.order_ts OR o.status IS DISTINCT FROM n.status
+       OR o.total_amount IS DISTINCT FROM n.total_amount"""
+
 STORED_LOG = f"""{EVENTS}
     SELECT entity, 'shop.public.' || entity AS kafka_topic, part AS kafka_partition, event_id AS kafka_offset,
            CASE WHEN event_id % 50 = 4 THEN 'u' ELSE op END AS op, true AS timed
@@ -301,15 +311,7 @@ ORACLE_SQL: dict[str, str] = {
         "event_type AS payment_status, value AS amount",
     ),
     "cdc_snapshot_events": f"{DOMAIN} SELECT 'upsert' AS action, 'r' AS op, * FROM d_orders",
-    "cdc_diff_events": f"""{VERSIONS}
-        SELECT CASE WHEN n.order_id IS NULL THEN 'delete' ELSE 'upsert' END AS action,
-               CASE WHEN n.order_id IS NULL THEN 'd' WHEN o.order_id IS NULL THEN 'c' ELSE 'u' END AS op,
-               coalesce(n.order_id, o.order_id) AS order_id,
-               n.customer_id, n.order_ts, n.status, n.total_amount
-        FROM old_orders o FULL JOIN new_orders n ON o.order_id = n.order_id
-        WHERE o.order_id IS NULL OR n.order_id IS NULL OR o.customer_id IS DISTINCT FROM n.customer_id
-           OR o.order_ts IS DISTINCT FROM n.order_ts OR o.status IS DISTINCT FROM n.status
-           OR o.total_amount IS DISTINCT FROM n.total_amount""",
+    "cdc_diff_events": f"{VERSIONS} {VERSION_CHANGES}",
     "cdc_merge": f"{VERSIONS} SELECT * FROM new_orders",
     "status_progression": f"""{DOMAIN}, latest AS ({LATEST_FIVE}),
         refunded AS ({random_keys('latest', 'order_id', 3, 123)})
@@ -443,3 +445,19 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'order_items', count(*) FROM d_items
         UNION ALL SELECT 'payments', count(*) FROM d_payments""",
 }
+
+ORACLE_SQL |= {
+    "dq_not_null_built": ORACLE_SQL["dq_not_null"],
+    "dq_not_null_observed": ORACLE_SQL["dq_not_null"],
+    "load_counts_observed": ORACLE_SQL["load_counts"],
+    "tables_read_back": f"""{DOMAIN}
+        SELECT o.*, payment_id, payment_status, amount FROM d_orders o JOIN d_payments p ON o.order_id = p.order_id""",
+    "order_total_bucketed": ORACLE_SQL["order_total_reconcile"],
+    "daily_trend_by_month": ORACLE_SQL["daily_trend"],
+    "kpi_row_sql_params": ORACLE_SQL["kpi_row_filtered"],
+    "cdc_diff_few": f"""{DOMAIN}, old_orders AS (SELECT * FROM d_orders WHERE order_id % 300 <> 200),
+        new_orders AS (
+            SELECT order_id, customer_id, order_ts, CASE WHEN order_id % 300 = 100 THEN 'shipped' ELSE status END AS status, total_amount
+            FROM d_orders WHERE order_id % 300 <> 0)
+        {VERSION_CHANGES}""",
+}

@@ -92,13 +92,34 @@ def table_changes(old: DataFrame, new: DataFrame, entity: Entity) -> DataFrame:
     return paired.union(loose).where(~F.col("before").eqNullSafe(F.col("after"))).select(op.alias("op"), *kept)
 
 
+def _digest(entity: Entity) -> Column:
+    """96 bits over all columns; a changed row keeps them with a chance of 2^-96."""
+    return F.struct(F.xxhash64(*entity.column_names).alias("long"), F.hash(*entity.column_names).alias("short"))
+
+
+def differing(old: DataFrame, new: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
+    """Both versions without rows that have the same digest under the same key in the other.
+
+    Only keys and digests are shuffled to find them; the keys that differ then pick their rows, on the spot if they are few.
+    Rows without a key stay.
+    """
+    keyed = F.col(entity.key).isNotNull()
+    left, right = (v.where(keyed).select(F.col(entity.key).alias("_key"), _digest(entity).alias(d)) for v, d in ((old, "_old"), (new, "_new")))
+    keys = left.join(right, "_key", "full").where(~F.col("_old").eqNullSafe(F.col("_new"))).select(F.col("_key").alias("_changed"))
+    return tuple(v.join(keys, F.col(entity.key) == F.col("_changed"), "left_semi").union(v.where(~keyed)) for v in (old, new))
+
+
 def diff_events(
     old: DataFrame, new: DataFrame, entity: Entity, prefix: str, ts_ms: int | None = None, partitions: int = 16,
-    *, capture: int,
+    *, capture: int, few: bool = False,
 ) -> DataFrame:
     """Create, update and delete messages that lead from one version of a table to another.
 
-    `capture` is the number of this difference among the captures of the topic, the snapshot being 0.
+    `capture` is the number of this difference among the captures of the topic, the snapshot being 0. With `few`, for
+    versions that differ in few rows, digests are compared first and whole rows fetched for keys that differ only; where most
+    rows differ, pairing them at once takes half the time.
     """
+    if few:
+        old, new = differing(old.select(entity.column_names), new.select(entity.column_names), entity)
     changes = table_changes(old, new, entity)
     return _messages(changes, entity, F.col("op"), prefix, ts_ms, partitions, capture)

@@ -159,20 +159,24 @@ NOT_NULL: dict[str, list[str]] = {
 }
 
 
-def build_marts(tables: Tables, folder: str, names: list[str] | None = None) -> None:
-    """Rebuild marts as `<folder>/<mart>`.
+def build_marts(tables: Tables, folder: str, names: list[str] | None = None) -> list[quality.Watched]:
+    """Rebuild marts as `<folder>/<mart>`; their row counts and checks, counted while they were written.
 
     A mart is written aside and takes the old one's place by renaming, so a failure while it is built leaves
     the old one, and readers never meet half of one.
     """
+    built = []
     for name in names or MARTS:
-        plan = MARTS[name](tables)
+        watched = quality.Watched(MARTS[name](tables), name, NOT_NULL.get(name, ()))
+        plan = watched.frame
+        built.append(watched)
         target, draft, old = Folder(plan.sparkSession, folder), f"_draft-{uuid.uuid4().hex}", f"_old-{uuid.uuid4().hex}"
         plan.write.parquet(target.path(draft))
         if target.exists(name):
             target.move((name,), (old,))
         target.move((draft,), (name,))
         target.delete(old)
+    return built
 
 
 def mart_checks(marts: dict[str, DataFrame]) -> DataFrame:

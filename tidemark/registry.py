@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import reduce
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import money, time
 from tidemark.operators import capture, decode, mutations, numbering, quality, sampling, state
-from tidemark.plans import dashboard, marts
+from tidemark.plans import dashboard, marts, parametric
 from tidemark.plans.dashboard import ORDER, Filters
 from tidemark.schemas import ENTITIES
 from tidemark.session import configure, scratch_path
-from tidemark.sources import changes, testdata
+from tidemark.sources import changes, layouts, testdata
 from tidemark.sources import tables as table_set
 from tidemark.sources.tables import Tables
 from tidemark.streaming import stateful
@@ -232,6 +233,14 @@ def _diff(tables: Tables) -> DataFrame:
     return _decoded_orders(messages).drop(*decode.POSITION)
 
 
+def _few_diff(tables: Tables) -> DataFrame:
+    """The difference of two versions of which one order in a hundred changed, found by digests."""
+    number = F.col("order_id") % 300
+    status = F.when(number == 100, "shipped").otherwise(F.col("status"))
+    old, new = tables.orders.where(number != 200), tables.orders.where(number != 0).withColumn("status", status)
+    return _decoded_orders(capture.diff_events(old, new, ORDERS, testdata.TOPIC_PREFIX, capture=1, few=True)).drop(*decode.POSITION)
+
+
 def _merged(tables: Tables) -> DataFrame:
     old, new = _old_orders(tables), _new_orders(tables)
     changes = _decoded_orders(capture.diff_events(old, new, ORDERS, testdata.TOPIC_PREFIX, capture=1))
@@ -338,6 +347,57 @@ def _load_counts(spark: SparkSession, folder: str) -> DataFrame:
     return table_set.row_counts(testdata.load(configure(spark), folder).items())
 
 
+def _observed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of the five tables, seen while they are written to storage."""
+    root, watched = scratch_path(configure(spark), "tables"), []
+    for name, frame in testdata.load(spark, folder).items():
+        watched.append(quality.Watched(frame, name))
+        watched[-1].frame.write.parquet(f"{root}/{name}")
+    return quality.watched_counts(spark, watched)
+
+
+def _observed_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The marts' checks, seen while the marts are built and written."""
+    built = marts.build_marts(testdata.load(configure(spark), folder), scratch_path(spark, "marts"), list(marts.NOT_NULL))
+    return quality.watched_checks(spark, built)
+
+
+def _checked_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks on marts that were built, written and read back."""
+    path = scratch_path(configure(spark), "marts")
+    marts.build_marts(testdata.load(spark, folder), path, list(marts.NOT_NULL))
+    return marts.check_marts(spark, path)
+
+
+def _bucketed_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Order totals against their lines, over tables saved in buckets by order: no shuffle once they are saved."""
+    prefix = f"tidemark_{uuid.uuid4().hex}_"
+    layouts.save_bucketed(testdata.load(configure(spark), folder), prefix, 16, ["orders", "order_items"])
+    saved = layouts.bucketed_tables(spark, prefix)
+    return mutations.reconcile_totals(saved.orders, saved.order_items)
+
+
+def _monthly_trend(spark: SparkSession, folder: str) -> DataFrame:
+    """The filtered daily trend over orders stored by month, of which only the selected months are read."""
+    tables, path = testdata.load(configure(spark), folder), scratch_path(spark, "orders-by-month")
+    layouts.save_by_month(tables.orders, path)
+    stored = dict(tables.items()) | {"orders": layouts.orders_between(spark, path, SELECTED.start, SELECTED.end)}
+    return dashboard.daily_trend(Tables(**stored), SELECTED)
+
+
+def _kpi_row_sql(spark: SparkSession, folder: str) -> DataFrame:
+    return parametric.kpi_row(spark, testdata.load(configure(spark), folder), SELECTED)
+
+
+def _read_back(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders and payments written as parquet, read with their declared columns and joined."""
+    root, tables = scratch_path(configure(spark), "tables"), testdata.load(spark, folder)
+    for name in ("orders", "payments"):
+        tables.table(name).write.parquet(f"{root}/{name}")
+    read = table_set.read_tables(spark, root)
+    return read.orders.join(read.payments.select("order_id", "payment_id", "payment_status", "amount"), "order_id")
+
+
 QUERIES: dict[str, Query] = {
     # Marts
     **{name: _on_tables(plan) for name, plan in marts.MARTS.items()},
@@ -384,6 +444,7 @@ QUERIES: dict[str, Query] = {
     "cdc_log_stored": _stored_log,
     "cdc_snapshot_events": _on_tables(_snapshot),
     "cdc_diff_events": _on_tables(_diff),
+    "cdc_diff_few": _on_tables(_few_diff),
     "cdc_merge": _on_tables(_merged),
     # Mutations
     "status_progression": _on_tables(_status_progression),
@@ -399,5 +460,13 @@ QUERIES: dict[str, Query] = {
     "dq_not_null": _on_tables(_not_null),
     "dq_not_null_tables": _on_tables(_not_null_tables),
     "dq_unique": _on_tables(_unique),
+    "dq_not_null_built": _checked_marts,
+    "dq_not_null_observed": _observed_checks,
     "load_counts": _load_counts,
+    "load_counts_observed": _observed_counts,
+    # Stored layouts and SQL
+    "tables_read_back": _read_back,
+    "order_total_bucketed": _bucketed_totals,
+    "daily_trend_by_month": _monthly_trend,
+    "kpi_row_sql_params": _kpi_row_sql,
 }
