@@ -3,6 +3,7 @@ from __future__ import annotations
 import heapq
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -61,6 +62,14 @@ def test_shards(spark):
     assert max(loads.values()) - min(loads.values()) <= max(expected[-1] - expected[0], 8) + 64
 
 
+def test_large_groups_are_evened_out_by_small_ones(spark):
+    """Sizes above 4095 bytes are scheduled by class; the loads they really make are what small groups fill up."""
+    rng = random.Random(16)
+    rows = [doc(i, prose(i, rng.randrange(700, 3000))) for i in range(60)] + [doc(100 + i, prose(1000 + i, rng.randrange(1, 30))) for i in range(400)]
+    _, loads = check_shards(rows, sharding.assign(spark.createDataFrame(rows, SCHEMA), 8).collect())
+    assert max(loads.values()) - min(loads.values()) <= min(len(r[1]) for r in rows) + 2
+
+
 def test_shards_of_awkward_rows(awkward, nothing):
     check_shards(AWKWARD, sharding.assign(awkward, 8).collect())
     assert sharding.assign(nothing, 8).count() == 0
@@ -87,19 +96,34 @@ def check_files(spark, rows, folder):
         at += r["n_tokens"]
     ordered = [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])]
     assert ordered == sorted(ordered, key=lambda d: (d is not None, d or 0))
-    shards = [token_files.Shard(folder, r["name"]) for r in manifest.collect()]
-    once = Counter(r[0] for r in rows)
+    store = token_files.Store(manifest, folder)
+    held = defaultdict(list)
     for i, r in enumerate(rows):
-        found = [f for f in (s.get(r[0]) for s in shards) if f is not None] if r[0] is not None else []
         if r[0] is not None:
-            assert any(f.tolist() == ids[i] for f in found) or once[r[0]] > 1
-    assert all(s.get(123_456_789_000 + k) is None for s in shards for k in range(50))
+            held[r[0]].append(ids[i])
+    for key, expected in held.items():
+        assert sorted(f.tolist() for f in store.get(key)) == sorted(expected)
+    assert all(store.get(123_456_789_000 + k) == [] for k in range(50))
+    if max(map(len, held.values()), default=0) < 9:
+        assert all(shard.whole == {} for shard in store.shards)  # words are read at their places, no part as a whole
+    return manifest.count()
 
 
 def test_files(spark, tmp_path):
     check_files(spark, [doc((i * 7919) % 1009 - 300, prose(i, i % 50)) for i in range(400)], str(tmp_path / "store"))
 
 
+def test_a_key_in_several_shards(spark, tmp_path):
+    """More rows of one key than a shard holds, among others, some before and some after."""
+    rows = [doc(5, prose(i, 20)) for i in range(300)] + [doc(i, prose(i, 5)) for i in range(10)] + [doc(None, "no key")] * 3
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        assert check_files(spark, rows, str(tmp_path / "store")) > 2
+    finally:
+        spark.conf.unset(name)
+
+
 def test_files_of_awkward_rows(spark, nothing, tmp_path):
     check_files(spark, AWKWARD, f"file://{tmp_path}/store")
     manifest = token_files.write(nothing, str(tmp_path / "none"), WORD_BPE, 2)
@@ -183,6 +207,51 @@ def test_every_known_text_is_found(spark):
     assert len(set(got.values())) > 15
 
 
+def wrapped(text, width=60):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+GNU_FILE = """# Copyright (C) Jane Doe
+#
+# This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as
+# published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."""
+
+
+def test_a_whole_text_of_each_license(spark):
+    texts = [
+        ("MIT", "MIT License\n\nCopyright (c) Jane Doe\n\n" + wrapped(licenses.MIT)), ("ISC", "Copyright © 2020 X\n" + wrapped(licenses.ISC, 72)),
+        ("BSD-2-Clause", "BSD 2-Clause Licence\n\nCopyright (c) 2011, Jane\nAll rights reserved.\n\n" + wrapped(licenses.BSD_START + licenses.BSD_END)),
+        ("BSD-3-Clause", wrapped(licenses.BSD_START + licenses.BSD_THIRD + licenses.BSD_END, 50).replace("merchantability", "MERCHANTABILITY")),
+        ("Unlicense", wrapped(licenses.UNLICENSE).replace("https://", "http://")), ("Apache-2.0", wrapped(licenses.APACHE_HEADER)),
+        ("MPL-2.0", wrapped(licenses.MPL_HEADER)), ("LGPL-3.0", GNU_FILE), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+        ("AGPL-3.0", "// spdx-license-identifier: AGPL-3.0-only"),
+    ]
+    frame = spark.createDataFrame([doc(i, text) for i, (_, text) in enumerate(texts)], SCHEMA)
+    words = licenses.anchors(licenses.known_texts())
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(frame, licenses.known_digests(spark), words).collect()}
+    assert [got[i] for i in range(len(texts))] == [name for name, _ in texts]
+
+
+def test_words_are_chosen_from_what_is_known(spark):
+    """Other known texts than the usual ones, in any spelling; with and without the choice of words."""
+    known = [("own", "Redistribution and use in source and binary forms are allowed"), ("short", "Licence"), ("odd", "copy while you can"), ("sign", "© favour 12")]
+    rows = [doc(i, f"before\n\n{text.upper()}.\n\nafter") for i, (_, text) in enumerate(known)] + [doc(9, "nothing\n\nhere under licence and permission")]
+    frame, digests = spark.createDataFrame(rows, SCHEMA), licenses.known_digests(spark, known)
+    for words in (None, licenses.anchors(known)):
+        got = {r["doc_id"]: r["part_licenses"] for r in licenses.scan(frame, digests, words).collect()}
+        assert got == {0: ["own"], 1: ["short"], 2: ["odd"], 3: ["sign"], 9: []}, words
+    assert "licen" in licenses.anchors(licenses.known_texts()) and len(licenses.anchors(licenses.known_texts())) < 10
+
+
+def test_many_digests_are_joined_without_being_sent_around(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "BROADCAST_DIGESTS", 3)
+    frame = spark.createDataFrame([doc(1, licenses.ISC), doc(2, "none")], SCHEMA)
+    assert {r["doc_id"]: r["license"] for r in licenses.scan(frame, licenses.known_digests(spark)).collect()} == {1: "ISC", 2: None}
+
+
 def test_licenses_of_awkward_rows(spark, awkward, nothing):
     got = licenses.scan(awkward, licenses.known_digests(spark)).collect()
     assert sum(r["n_rows"] for r in got) == len(AWKWARD) and {r["license"] for r in got} == {None}

@@ -82,7 +82,7 @@ def op7_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_license_digests(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = licenses.scan(docs, licenses.known_digests(spark))
+    found = licenses.scan(docs, licenses.known_digests(spark), licenses.anchors(licenses.known_texts()))
     return found.select("doc_id", "license", F.array_join("part_licenses", " ").alias("part_licenses"), "n_parts", "n_rows")
 
 

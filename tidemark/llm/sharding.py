@@ -3,7 +3,8 @@
 Rows with equal texts form a group that stays together. Groups, largest first, go to the least-loaded shard, which a
 heap gives. Groups of one size are interchangeable, so the driver schedules the number of groups of
 each size class: every size below 4096 is a class, above that 12 leading bits make one (under 100,000 classes for any corpus). The plan says which ranks
-within a class go to which shard; groups are ranked on the executors.
+within a class go to which shard; groups are ranked on the executors. Classes of large groups are scheduled at their mean size; then the
+loads they really make are added up, and the small groups, whose sizes are exact, are scheduled on top of these.
 
 Defined cases: a null text has size 1, checksum 0 and a group of its own; an empty text likewise. Repeated rows are a
 group. Null ids are ids like any other. An empty table gives an empty result.
@@ -28,9 +29,9 @@ def size_class(size: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", size, drop), drop)
 
 
-def schedule(classes: list[tuple[float, int]], shards: int) -> list[list[int]]:
-    """Groups per shard for every (size, number of groups), given largest first."""
-    loads = [0.0] * shards
+def schedule(classes: list[tuple[float, int]], shards: int, loads: list[float] | None = None) -> list[list[int]]:
+    """Groups per shard for every (size, number of groups), given largest first, on top of the loads."""
+    loads = [0.0] * shards if loads is None else list(loads)
     result = []
     for size, n in classes:
         given = [0] * shards
@@ -62,6 +63,18 @@ def _level(loads: list[float], size: float, n: int) -> float:
     return low
 
 
+def _homes(groups: DataFrame, classes: list, shards: int, loads: list[float] | None) -> DataFrame:
+    """print, group_size and shard of groups whose classes are given largest first."""
+    planned = schedule([(r["bytes"] / r["n"], r["n"]) for r in classes], shards, loads)
+    plan = groups.sparkSession.createDataFrame(
+        [(r["class"], list(accumulate(given))) for r, given in zip(classes, planned, strict=True)], "class long, ends array<long>"
+    )
+    order = [F.desc("group_size"), F.col("print")]
+    placed = ranked(groups, ["class"], order, F.xxhash64("print"), ROWS_PER_PART, "rank").join(plan, "class")
+    shard = F.size(F.filter("ends", lambda end: end <= F.col("rank"))).cast("int")
+    return stored(placed.select("print", "group_size", shard.alias("shard")), "shard-homes")
+
+
 def assign(docs: DataFrame, shards: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, size, text_crc32, shard and slot for every row."""
     whole = F.col(text).cast("string")
@@ -72,14 +85,12 @@ def assign(docs: DataFrame, shards: int, text: str = "text", doc_id: str = "doc_
     groups = rows.groupBy("print").agg(F.sum("size").alias("group_size"))
     groups = stored(groups.withColumn("class", size_class(F.col("group_size"))), "shard-groups")
     classes = groups.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum("group_size").alias("bytes")).orderBy(F.desc("class")).collect()
-    planned = schedule([(r["bytes"] / r["n"], r["n"]) for r in classes], shards)
-    plan = docs.sparkSession.createDataFrame(
-        [(r["class"], list(accumulate(given))) for r, given in zip(classes, planned, strict=True)], "class long, ends array<long>"
-    )
-    order = [F.desc("group_size"), F.col("print")]
-    placed = ranked(groups, ["class"], order, F.xxhash64("print"), ROWS_PER_PART, "rank").join(plan, "class")
-    shard = F.size(F.filter("ends", lambda end: end <= F.col("rank"))).cast("int")
-    homes = stored(placed.select("print", shard.alias("shard")), "shard-homes")
+    exact = F.col("class") < 1 << LEADING_BITS
+    large = _homes(groups.where(~exact), [r for r in classes if r["class"] >= 1 << LEADING_BITS], shards, None)
+    loads = [0.0] * shards
+    for r in large.groupBy("shard").agg(F.sum("group_size").alias("load")).collect():
+        loads[r["shard"]] = float(r["load"])
+    homes = large.unionByName(_homes(groups.where(exact), [r for r in classes if r["class"] < 1 << LEADING_BITS], shards, loads)).drop("group_size")
     housed = rows.join(homes, "print")
     slotted = ranked(housed, ["shard"], [F.col("doc_id"), F.col("print")], F.xxhash64("doc_id", "print"), ROWS_PER_PART, "slot")
     return slotted.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))

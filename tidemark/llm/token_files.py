@@ -2,16 +2,17 @@
 
 A store is a folder of shards in ascending key order. `NAME.ids` is nothing but ids, 16 or 32 bits each. `NAME.idx`
 holds, as little-endian arrays behind a JSON header: `starts` (ids before each document, one more
-than there are documents), `keys` and `keyed` (in file order), and the index. A key's hash is looked for in levels of bits: on each level,
+than there are documents), `keys` (the distinct ones, ascending), and the index. A key's hash is looked for in levels of bits: on each level,
 keys that alone claim a place own it, the others go on to the next level; the number of bits before
-a key's bit is its slot, a minimal perfect hash. Slots hold a fingerprint, which unknown keys fail,
-and the document's number. Keyed access costs a few reads at known places, whatever the shard's size.
+a key's bit is its slot, a minimal perfect hash. Slots hold a fingerprint, which unknown keys fail, the number of the key's first
+document and how many it has. The header has the documents without a key, and the manifest the range of keys of each shard. Keyed access opens
+the shards whose range holds the key and costs a few reads at known places there, whatever a shard's size.
 
 Files are written under names no other attempt uses; the manifest, itself written by Spark, lists those of
 tasks that succeeded. Folders are reached by pyarrow's file systems, so local and shared paths work.
 
 Defined cases: a null text is empty and has the end id alone. Rows without a key come first and are read in
-order only; rows with one key follow each other, and the key leads to the first. An empty table gives a store without shards.
+order only; rows with one key follow each other, and the key leads to all of them. An empty table gives a store without shards.
 """
 
 from __future__ import annotations
@@ -37,15 +38,17 @@ SPREAD = 2
 _SEED = 0x9E3779B97F4A7C15
 _PRINT = np.uint64(0xD1B54A32D192ED03)
 READ_BYTES = 8 << 20
+#: Words that are read one by one; for more, the whole part is read once.
+MOST_READS = 64
 
 
 class PerfectHash:
     """A minimal perfect hash of distinct 64-bit keys: each known key has its own slot below their number."""
 
-    def __init__(self, levels: np.ndarray, bits: np.ndarray):
-        self.levels, self.bits = levels, bits  # places on each level; all levels' bits, 64 to a word
-        counts = np.bitwise_count(bits).astype(np.int64)
-        self.before = np.concatenate(([0], np.cumsum(counts)))
+    def __init__(self, levels: np.ndarray, bits: np.ndarray, before: np.ndarray | None = None):
+        # Places on each level; all levels' bits, 64 to a word; the bits before each word. Anything that gives words at places will do.
+        self.levels, self.bits = levels, bits
+        self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(bits).astype(np.int64)))) if before is None else before
 
     @staticmethod
     def build(keys: np.ndarray) -> PerfectHash:
@@ -88,59 +91,108 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def index_bytes(starts: np.ndarray, keys: np.ndarray, keyed: np.ndarray, width: int) -> bytes:
-    """The index file of documents in file order."""
-    known, first = np.unique(keys[keyed], return_index=True)
+    """The index file of documents in file order, those without a key first."""
+    known, first, held = np.unique(keys[keyed], return_index=True, return_counts=True)
     numbers = np.flatnonzero(keyed)[first]
     perfect = PerfectHash.build(known)
-    prints, documents = np.zeros(len(known), "<u4"), np.zeros(len(known), "<u4")
+    prints, documents, counts = (np.zeros(len(known), "<u4") for _ in range(3))
     slots = perfect.slots(known)
-    prints[slots], documents[slots] = fingerprints(known), numbers
+    prints[slots], documents[slots], counts[slots] = fingerprints(known), numbers, held
     parts = {
-        "starts": starts.astype("<i8"), "keys": keys.astype("<i8"), "keyed": keyed.astype("u1"), "levels": perfect.levels.astype("<i8"),
-        "bits": perfect.bits.astype("<u8"), "prints": prints, "documents": documents,
+        "starts": starts.astype("<i8"), "keys": known.astype("<i8"), "levels": perfect.levels.astype("<i8"), "bits": perfect.bits.astype("<u8"),
+        "before": perfect.before.astype("<i8"), "prints": prints, "documents": documents, "counts": counts,
     }
-    header = json.dumps({"width": width, "parts": {n: [a.dtype.str, len(a)] for n, a in parts.items()}}).encode()
+    header = json.dumps({"width": width, "keyless": int((~keyed).sum()), "parts": {n: [a.dtype.str, len(a)] for n, a in parts.items()}}).encode()
     return len(header).to_bytes(8, "little") + header + b"".join(a.tobytes() for a in parts.values())
 
 
+class _Words:
+    """A part of an index file: words are read at their places, near ones together, very many from the whole part."""
+
+    def __init__(self, shard: Shard, name: str):
+        self.shard, self.name = shard, name
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        kind, n, at = self.shard.parts[self.name]
+        low, high = int(places.min()), int(places.max())
+        near = high - low < 4 * len(places)
+        if self.name in self.shard.whole or len(places) > MOST_READS and not (near and len(places) * 2 < n):
+            return self.shard.part(self.name)[places]
+        with self.shard.files.open_input_file(self.shard.path) as f:
+            if near:
+                return np.frombuffer(f.read_at((high + 1 - low) * kind.itemsize, at + low * kind.itemsize), kind)[places - low]
+            read = [f.read_at(kind.itemsize, at + int(p) * kind.itemsize) for p in places]
+        return np.frombuffer(b"".join(read), kind)
+
+
 class Shard:
     """Keyed and ordered access to one shard."""
 
     def __init__(self, folder: str, name: str):
-        self.files, self.root = _open(folder)
-        self.name = name
-        with self.files.open_input_stream(f"{self.root}/{name}.idx") as f:
-            data = f.read()
-        size = int.from_bytes(data[:8], "little")
-        header = json.loads(data[8 : 8 + size])
-        at, held = 8 + size, {}
+        self.files, root = _open(folder)
+        self.path, self.ids_path = f"{root}/{name}.idx", f"{root}/{name}.ids"
+        with self.files.open_input_file(self.path) as f:
+            size = int.from_bytes(f.read_at(8, 0), "little")
+            header = json.loads(f.read_at(size, 8))
+        at, self.parts = 8 + size, {}
         for part, (kind, n) in header["parts"].items():
-            held[part] = np.frombuffer(data, kind, n, at)
-            at += held[part].nbytes
-        self.starts, self.keys, self.keyed = held["starts"], held["keys"], held["keyed"].astype(bool)
-        self.prints, self.documents = held["prints"], held["documents"]
-        self.hash = PerfectHash(held["levels"], held["bits"])
-        self.kind = np.dtype("<u2" if header["width"] == 2 else "<u4")
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Numbers of the documents with these keys, -1 for keys that are not here."""
+            self.parts[part] = np.dtype(kind), n, at
+            at += n * np.dtype(kind).itemsize
+        self.keyless, self.kind = header["keyless"], np.dtype("<u2" if header["width"] == 2 else "<u4")
+        self.whole: dict[str, np.ndarray] = {}
+        self.levels = None
+
+    def part(self, name: str) -> np.ndarray:
+        """A whole part, kept."""
+        if name not in self.whole:
+            kind, n, at = self.parts[name]
+            with self.files.open_input_file(self.path) as f:
+                self.whole[name] = np.frombuffer(f.read_at(n * kind.itemsize, at), kind)
+        return self.whole[name]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each key's first document, -1 for keys that are not here, and how many documents the key has."""
         keys = np.ascontiguousarray(keys, np.int64)
-        if not len(self.prints):
-            return np.full(len(keys), -1)
-        slots = self.hash.slots(keys)
+        if not self.parts["prints"][1] or not len(keys):
+            return np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+        if self.levels is None:
+            self.levels = _Words(self, "levels")[np.arange(self.parts["levels"][1])]
+        slots = PerfectHash(self.levels, _Words(self, "bits"), _Words(self, "before")).slots(keys)
         safe = np.maximum(slots, 0)
-        known = (slots >= 0) & (self.prints[safe] == fingerprints(keys))
-        return np.where(known, self.documents[safe].astype(np.int64), -1)
+        known = (slots >= 0) & (_Words(self, "prints")[safe] == fingerprints(keys))
+        first, counts = (_Words(self, n)[safe].astype(np.int64) for n in ("documents", "counts"))
+        return np.where(known, first, -1), np.where(known, counts, 0)
+
+    def starts(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids before the documents with these numbers."""
+        return _Words(self, "starts")[numbers]
 
     def ids(self, first: int, end: int) -> np.ndarray:
         """Ids from place `first` to `end`, read from there."""
-        with self.files.open_input_file(f"{self.root}/{self.name}.ids") as f:
+        with self.files.open_input_file(self.ids_path) as f:
             return np.frombuffer(f.read_at((end - first) * self.kind.itemsize, first * self.kind.itemsize), self.kind)
 
-    def get(self, key: int) -> np.ndarray | None:
-        """A document's ids by its key."""
-        number = int(self.find(np.array([key]))[0])
-        return None if number < 0 else self.ids(int(self.starts[number]), int(self.starts[number + 1]))
+    def get(self, key: int) -> list[np.ndarray]:
+        """The ids of each document with the key."""
+        number, n = (int(x[0]) for x in self.find(np.array([key])))
+        if number < 0:
+            return []
+        edges = self.starts(np.arange(number, number + n + 1))
+        return [self.ids(int(a), int(b)) for a, b in zip(edges, edges[1:])]
+
+
+class Store:
+    """Keyed access to all shards of a store; its manifest has a row per shard."""
+
+    def __init__(self, manifest: DataFrame, folder: str):
+        rows = manifest.orderBy("shard").collect()
+        self.ranges = [(r["least"], r["greatest"]) for r in rows]
+        self.shards = [Shard(folder, r["name"]) for r in rows]
+
+    def get(self, key: int) -> list[np.ndarray]:
+        """The ids of each document with the key, which the ranges of a few shards at most can hold."""
+        able = [s for s, (low, high) in zip(self.shards, self.ranges, strict=True) if low is not None and low <= key <= high]
+        return [ids for shard in able for ids in shard.get(key)]
 
 
 def _written(folder: str, tokenizer: str, end_id: int):
@@ -170,13 +222,18 @@ def _written(folder: str, tokenizer: str, end_id: int):
         out.close()
         starts = np.concatenate(([0], np.cumsum(lengths)))
         with files.open_output_stream(f"{root}/{name}.idx") as f:
-            f.write(index_bytes(starts, np.concatenate(keys), np.concatenate(keyed), width))
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "name": [name], "n_docs": [len(lengths)], "n_ids": [int(starts[-1])]}, _MANIFEST)
+            numbers, known = np.concatenate(keys), np.concatenate(keyed)
+            f.write(index_bytes(starts, numbers, known, width))
+        held = numbers[known]
+        row = [shard], [name], [len(lengths)], [int(starts[-1])], [int(held.min()) if len(held) else None], [int(held.max()) if len(held) else None]
+        yield pa.RecordBatch.from_pydict(dict(zip(_MANIFEST.names, row, strict=True)), _MANIFEST)
 
     return run
 
 
-_MANIFEST = pa.schema([("shard", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+_MANIFEST = pa.schema(
+    [("shard", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("least", pa.int64()), ("greatest", pa.int64())]
+)
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
@@ -184,29 +241,33 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.sort(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return stored(ordered.mapInArrow(_written(folder, tokenizer, end_id), "shard int, name string, n_docs long, n_ids long"), "token-manifest")
+    return stored(ordered.mapInArrow(_written(folder, tokenizer, end_id), "shard int, name string, n_docs long, n_ids long, least long, greatest long"), "token-manifest")
 
 
 def _read(folder: str):
+    """Documents in file order: those without a key by their places, the others by their keys, each looked up in the index."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, base in zip(batch.column("name").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 shard = Shard(folder, name)
-                numbers = shard.find(shard.keys)
-                same = numbers >= 0
-                wrong = shard.keyed & ~(same & (shard.keys[np.maximum(numbers, 0)] == shard.keys))
-                if wrong.any():
-                    raise ValueError(f"{name}: the index misses key {shard.keys[wrong][0]}")
+                known = shard.part("keys")
+                first, counts = shard.find(known)
+                if (first < 0).any():
+                    raise ValueError(f"{name}: the index misses key {known[first < 0][0]}")
+                within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                numbers = np.concatenate([np.arange(shard.keyless), np.repeat(first, counts) + within])
+                keys = np.concatenate([np.zeros(shard.keyless, np.int64), np.repeat(known, counts)])
+                begins, ends = shard.starts(numbers), shard.starts(numbers + 1)
                 at, step = 0, READ_BYTES // shard.kind.itemsize
-                while at < len(shard.keys):
-                    end = max(at + 1, int(np.searchsorted(shard.starts, shard.starts[at] + step, "right")) - 1)
-                    ids = shard.ids(int(shard.starts[at]), int(shard.starts[end])).astype(ID)
-                    edges = shard.starts[at : end + 1] - shard.starts[at]
-                    checks = [zlib.crc32(ids[a:b]) for a, b in zip(edges, edges[1:])]
+                while at < len(numbers):
+                    end = max(at + 1, int(np.searchsorted(begins, begins[at] + step, "right")) - 1)
+                    ids = shard.ids(int(begins[at]), int(ends[end - 1])).astype(ID)
+                    checks = [zlib.crc32(ids[a:b]) for a, b in zip(begins[at:end] - begins[at], ends[at:end] - begins[at], strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(shard.keys[at:end], pa.int64(), mask=~shard.keyed[at:end]), pa.array(base + shard.starts[at:end]),
-                            pa.array(np.diff(edges)), pa.array(checks, pa.int64()),
+                            pa.array(keys[at:end], pa.int64(), mask=np.arange(at, end) < shard.keyless), pa.array(base + begins[at:end]),
+                            pa.array(ends[at:end] - begins[at:end]), pa.array(checks, pa.int64()),
                         ],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
