@@ -114,6 +114,8 @@ class _Words:
 
     def __getitem__(self, places: np.ndarray) -> np.ndarray:
         kind, n, at = self.shard.parts[self.name]
+        if not len(places):
+            return np.zeros(0, kind)
         low, high = int(places.min()), int(places.max())
         near = high - low < 4 * len(places)
         if self.name in self.shard.whole or len(places) > MOST_READS and not (near and len(places) * 2 < n):
