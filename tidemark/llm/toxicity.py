@@ -1,7 +1,7 @@
 """Toxicity scores by a bidirectional gated recurrent network with attention pooling.
 
 A word enters as an embedding of its hash next to the summed embeddings of its character n-grams. The
-network reads windows of `WINDOW` words, `STRIDE` apart, that cover the whole text; a document scores as its highest
+network reads all overlapping windows of `WINDOW` words, one beginning at every word; a document scores as its highest
 window. Training is in numpy on a bounded sample of labelled rows. Embeddings begin with how much oftener
 than expected a word or n-gram stands in toxic documents of the sample. A document's label holds for its text, so its
 window with the most such words stands for it at first, later the window that scores highest; clean
@@ -26,7 +26,7 @@ from tidemark.llm.common import small_batches
 from tidemark.llm.quality_classifier import held_out
 from tidemark.llm.shingles import mix, word_hashes
 
-WINDOW, STRIDE = 32, 16
+WINDOW = 8
 HIDDEN, EMBEDDING = 8, 8
 WORD_BUCKETS, GRAM_BUCKETS = 8192, 16384
 GRAMS = (3, 5)
@@ -197,10 +197,8 @@ def projections(p: Params, words: list[str]) -> np.ndarray:
 
 
 def window_starts(n_words: int) -> np.ndarray:
-    """Where windows begin that cover a text, the last one ending with it."""
-    if n_words <= WINDOW:
-        return np.zeros(min(n_words, 1), np.int64)
-    return np.append(np.arange(0, n_words - WINDOW, STRIDE), n_words - WINDOW)
+    """Where the windows of a text begin: at every word that a whole window follows; short texts are one window."""
+    return np.arange(min(n_words, max(1, n_words - WINDOW + 1)))
 
 
 def _score_windows(p: Params, table: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -212,6 +210,39 @@ def _score_windows(p: Params, table: np.ndarray, windows: np.ndarray) -> np.ndar
     return found
 
 
+def _sliding(p: Params, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Scores of the windows that begin at each of the rows, as `logits` gives them. A step of all windows is one slice of the
+    words' inputs; windows run along the last axis, so that every operation goes over long rows.
+    """
+    found = np.empty(len(rows) - WINDOW + 1, np.float32)
+    half = 3 * HIDDEN
+    for at in range(0, len(found), WINDOWS_AT_ONCE):
+        n = min(WINDOWS_AT_ONCE, len(found) - at)
+        inputs = np.ascontiguousarray(table[rows[at : at + n + WINDOW - 1]].T)
+        states = np.empty((WINDOW, 2 * HIDDEN, n), np.float32)
+        for side, steps, first in (("f", range(WINDOW), 0), ("b", reversed(range(WINDOW)), half)):
+            u, h = np.ascontiguousarray(p["u" + side].T), np.zeros((HIDDEN, n), np.float32)
+            for t in steps:
+                x, r = inputs[first : first + half, t : t + n], u @ h
+                gates = x[: 2 * HIDDEN] + r[: 2 * HIDDEN]
+                gates *= 0.5
+                np.tanh(gates, out=gates)
+                gates *= 0.5
+                gates += 0.5
+                new = gates[HIDDEN:] * r[2 * HIDDEN :]
+                new += x[2 * HIDDEN :]
+                np.tanh(new, out=new)
+                h -= new
+                h *= gates[:HIDDEN]
+                h += new
+                states[t, HIDDEN * first // half : HIDDEN * first // half + HIDDEN] = h
+        weight = np.stack([p["v"] @ np.tanh(p["a"].T @ s) for s in states])
+        weight = np.exp(weight - weight.max(0))
+        context = sum(w * s for w, s in zip(weight, states, strict=True)) / weight.sum(0)
+        found[at : at + n] = p["o"] @ context + p["c"][0]
+    return found
+
+
 def _excess(p: Params, vocabulary: _Vocabulary, words: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """Puts into the first place of every embedding how far its documents are toxic beyond chance, in
     standard deviations; returns that by word."""
@@ -316,20 +347,15 @@ def score_texts(params: Params, texts: list[str | None], words: _Words | None =
         words.trim()
         split = [(t or "").lower().split() for t in texts[at:end]]
         rows = words.rows([w for s in split for w in s])
-        base, starts, owners, short = 0, [], [], []
-        for d, s in enumerate(split):
-            if len(s) >= WINDOW:
-                own = window_starts(len(s))
-                starts.append(base + own)
-                owners.append(np.full(len(own), at + d))
-            elif s:
-                short.append((at + d, base, len(s)))
-            base += len(s)
-        if starts:
-            firsts, owner = np.concatenate(starts), np.concatenate(owners)
-            for k in range(0, len(firsts), WINDOWS_AT_ONCE):
-                window = rows[firsts[k : k + WINDOWS_AT_ONCE, None] + np.arange(WINDOW)]
-                np.maximum.at(best, owner[k : k + WINDOWS_AT_ONCE], _score_windows(params, words.table, window))
+        lengths = np.array([len(s) for s in split])
+        bases = np.cumsum(lengths) - lengths
+        short = [(at + d, bases[d], n) for d, n in enumerate(lengths) if 0 < n < WINDOW]
+        whole = np.flatnonzero(lengths >= WINDOW)
+        if len(whole):
+            # Windows go over the texts laid end to end; those that begin in one text and end in the next are not counted.
+            scores = _sliding(params, words.table, rows)
+            for d in whole:
+                best[at + d] = scores[bases[d] : bases[d] + lengths[d] - WINDOW + 1].max()
         if short:
             window = np.full((len(short), WINDOW), -1)
             for k, (_, first, n) in enumerate(short):
