@@ -52,20 +52,62 @@ def plain_estimate(x):
     """The estimate of a group's vectors (rows of x), one row per document."""
     floor = np.diag(np.square(rules.FLOORS))
     y = x / rules.SCALE
-    middle = np.median(x, axis=0)
-    spread = np.median(np.floor(np.abs(x - middle)), axis=0)
-    starts = [(middle / rules.SCALE, np.diag((1.4826 * spread / rules.SCALE) ** 2) + floor), (y.mean(0), np.cov(y.T, bias=True) + floor)]
+    starts = [(y.mean(0), np.cov(y.T, bias=True) + floor)]
+    for share in (25, 50):
+        middle = np.percentile(x, share, axis=0)
+        spread = np.median(np.floor(np.abs(x - middle)), axis=0)
+        starts.append((middle / rules.SCALE, np.diag((1.4826 * spread / rules.SCALE) ** 2) + floor))
     found = []
     for centre, cov in starts:
-        for _ in range(rules.STEPS):
+        last, root = math.inf, 0.0
+        while root < rules.FALLS * last:
+            last = root or last
             d = np.einsum("ij,ij->i", (y - centre) @ np.linalg.inv(cov), y - centre)
             near = np.floor(rules.CLASSES * np.sqrt(np.sqrt(d)))
-            inner = y[near <= np.sort(near)[math.ceil(rules.SHARE * len(y)) - 1]]
-            centre, cov = inner.mean(0), rules.CONSISTENCY * np.cov(inner.T, bias=True) + floor
-        found.append((np.linalg.det(cov), centre, cov))
+            h = math.ceil(rules.SHARE * len(y))
+            crossing = np.sort(near)[h - 1]
+            weight = (near < crossing) + (near == crossing) * (h - (near < crossing).sum()) / (near == crossing).sum()
+            centre = weight @ y / h
+            cov = rules.CONSISTENCY * ((y - centre).T * weight) @ (y - centre) / h + floor
+            root = math.sqrt(np.linalg.det(cov))
+            found.append((root, centre, cov))
     return min(found, key=lambda f: f[0])[1:]
 
 
+def points(spark, x):
+    """Vectors of one group as `estimates` takes them."""
+    rows = [("g", *map(int, v), n) for v, n in Counter(map(tuple, x)).items()]
+    return spark.createDataFrame(rows, "grp string, " + ", ".join(f"x{i} long" for i in range(rules.DIMS)) + ", n long")
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_estimates_take_steps_until_they_rest(spark, seed):
+    rng = np.random.default_rng(seed)
+    clean = rng.normal(1500, 300, (130, rules.DIMS))
+    junk = rng.normal(4600, 300, (90, rules.DIMS))
+    x = np.floor(np.vstack([clean, junk]))
+    x = np.vstack([x, x[:5]])
+    centre, cov = plain_estimate(x)
+    got = rules.estimates(points(spark, x)).first()
+    assert [got[f"m{i}"] for i in range(rules.DIMS)] == pytest.approx(centre, rel=1e-9)
+    assert got["det"] == pytest.approx(math.sqrt(np.linalg.det(cov)), rel=1e-6)
+    off = junk / rules.SCALE - centre
+    assert (np.einsum("ij,ij->i", off @ np.linalg.inv(cov), off) > rules.CUTOFF).all()
+
+
+def test_estimates_of_no_rows_and_of_equal_rows(spark):
+    assert rules.estimates(points(spark, np.zeros((60, rules.DIMS))).limit(0)).count() == 0
+    got = rules.estimates(points(spark, np.full((60, rules.DIMS), 1024.0))).first()
+    assert [got[f"m{i}"] for i in range(rules.DIMS)] == [1.0] * rules.DIMS
+    assert got["det"] == pytest.approx(math.prod(rules.FLOORS))
+
+
+def test_steps_without_an_end_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(rules, "MOST_STEPS", 1)
+    with pytest.raises(RuntimeError, match="did not end"):
+        rules.estimates(points(spark, np.arange(60 * rules.DIMS, dtype=float).reshape(60, rules.DIMS)))
+
+
 def corpus(n=360):
     rng = random.Random(5)
     rows = []

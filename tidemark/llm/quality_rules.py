@@ -4,13 +4,15 @@ A document's vector holds five transformed statistics: the root of the mean word
 the shares of symbols, repeated lines, repeated words and capitals. For each (language, source), and for
 each language, the minimum covariance determinant estimate is found by concentration steps: distances from
 the present centre and covariance, then mean and covariance of the `SHARE` of documents that lie nearest. Steps
-start from medians with median deviations, and from mean and covariance of all rows; the smaller
-determinant wins. A document whose squared Mahalanobis distance exceeds `cutoff` is rejected, also when junk
+start from medians and from lower quartiles, each with the median deviations from them, and from mean and
+covariance of all rows. A group's steps from a start end once its determinant falls no more; the least
+determinant of all steps wins. A document whose squared Mahalanobis distance exceeds `cutoff` is rejected, also when junk
 is up to almost half of its group, copies of one text or not.
 
 Only DataFrame operations. Vectors are fixed-point integers, so all sums are exact and do not depend on
 how rows are dealt. A concentration step is one aggregation: moments are summed per group and distance
-class, and the classes up to the h-th document are added up. A group is never brought together.
+class, the classes below the h-th document are added up, and of the class that holds it a share that makes
+h documents. A group is never brought together.
 
 Defined cases: null texts count as empty and fail the base rules. Null languages and sources are groups
 like any other. Groups below `min_rows` are judged by their language; a language below that rejects
@@ -20,12 +22,12 @@ nothing. Repeated rows each count and get equal verdicts. An empty table gives a
 from __future__ import annotations
 
 import math
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound, stored
+from tidemark.llm.common import stored
 from tidemark.llm.statistics import COUNTS, text_statistics
 
 DIMS = 5
@@ -34,7 +36,9 @@ SCALE = 1024
 #: Share of a group's documents that the estimate rests on. Junk stays out of it while the other documents
 #: are more than this share: at one half, as much junk as any estimate can bear.
 SHARE = 0.5
-STEPS = 3
+#: A start's steps go on while its determinant falls below this share of the one before. It has a lower bound, by
+#: the floors, so steps end; as many as `MOST_STEPS` are an error, not a silent end.
+FALLS, MOST_STEPS = 0.99, 200
 #: Standard deviations below which differences mean nothing: without them, a source whose documents
 #: have no repeats at all would reject the first that has one.
 FLOORS = (0.15, 0.05, 0.13, 0.13, 0.1)
@@ -90,27 +94,31 @@ def vectors(stats: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _moments(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.groupBy(*by).agg(
-        F.sum("n").alias("n"),
-        *[F.sum(F.col("n") * F.col(_X[i])).alias(f"s{i}") for i in range(DIMS)],
-        *[F.sum(F.col("n") * F.col(_X[i]) * F.col(_X[j])).alias(f"q{i}{j}") for i, j in _PAIRS],
-    )
+    sums = {f"s{i}": f"n * x{i}" for i in range(DIMS)} | {f"q{i}{j}": f"n * x{i} * x{j}" for i, j in _PAIRS}
+    return rows.groupBy(*by).agg(F.sum("n").alias("n"), *[F.expr(f"sum({each}) AS {name}") for name, each in sums.items()])
 
 
 def _estimate(sums: DataFrame, factor: float) -> DataFrame:
-    """Centre m, inverse Cholesky factor w and determinant of each group's covariance."""
-    keys = ["grp", "start"]
-    n = F.col("n").cast("double")
-    cov = sums.select(
-        *keys,
-        *[(F.col(f"s{i}") / n / SCALE).alias(f"m{i}") for i in range(DIMS)],
+    """Centre m, inverse Cholesky factor w and root of the determinant of each group's covariance."""
+    floors = {(i, i): FLOORS[i] ** 2 for i in range(DIMS)}
+    return _factored(sums.selectExpr(
+        "grp", "start",
+        *[f"s{i} / n / {SCALE} AS m{i}" for i in range(DIMS)],
         *[
-            (F.lit(factor) * (F.col(f"q{i}{j}") / n - F.col(f"s{i}") / n * (F.col(f"s{j}") / n)) / (SCALE * SCALE)
-             + F.lit(FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}")
+            f"{factor!r}D * (q{i}{j} / n - s{i} / n * (s{j} / n)) / {SCALE * SCALE} + {floors.get((i, j), 0.0)!r}D AS c{i}{j}"
             for i, j in _PAIRS
         ],
-    )
-    return _factored(cov)
+    ))
+
+
+def _held(frame: DataFrame, keep: list[str], columns: dict[str, str]) -> DataFrame:
+    """`bound` of SQL expressions: a step has hundreds, and as text they are sent to the engine in one call each."""
+    fresh = ", ".join(f"{text} AS {name}" for name, text in columns.items())
+    return frame.selectExpr(*keep, f"inline(array(struct({fresh})))")
+
+
+def _dot(terms: Iterable[str]) -> str:
+    return "(" + " + ".join(["0D", *terms]) + ")"
 
 
 def _factored(cov: DataFrame) -> DataFrame:
@@ -119,55 +127,53 @@ def _factored(cov: DataFrame) -> DataFrame:
     left = [f"c{i}{j}" for i, j in _PAIRS]
     done: list[str] = []
     frame = cov
-
-    def col(name: str, i: int, j: int) -> Column:
-        return F.col(f"{name}{i}{j}")
-
-    def dot(terms) -> Column:
-        return reduce(lambda a, b: a + b, terms, F.lit(0.0))
-
     for j in range(DIMS):  # column j of the factor needs the columns before it
-        pivot = F.sqrt(F.greatest(col("c", j, j) - dot(col("l", j, k) * col("l", j, k) for k in range(j)), F.lit(1e-9)))
-        frame = bound(frame, [*keys, *left, *done], **{f"l{j}{j}": pivot})
+        square = _dot(f"l{j}{k} * l{j}{k}" for k in range(j))
+        frame = _held(frame, [*keys, *left, *done], {f"l{j}{j}": f"sqrt(greatest(c{j}{j} - {square}, 1e-9D))"})
         done.append(f"l{j}{j}")
         below = {
-            f"l{i}{j}": (col("c", i, j) - dot(col("l", i, k) * col("l", j, k) for k in range(j))) / col("l", j, j)
-            for i in range(j + 1, DIMS)
+            f"l{i}{j}": f"(c{i}{j} - {_dot(f'l{i}{k} * l{j}{k}' for k in range(j))}) / l{j}{j}" for i in range(j + 1, DIMS)
         }
         if below:
-            frame = bound(frame, [*keys, *left, *done], **below)
+            frame = _held(frame, [*keys, *left, *done], below)
             done += below
     for i in range(DIMS):
-        row = {f"w{i}{i}": 1 / col("l", i, i)}
+        row = {f"w{i}{i}": f"1D / l{i}{i}"}
         for j in range(i):
-            row[f"w{i}{j}"] = -dot(col("l", i, k) * col("w", k, j) for k in range(j, i)) / col("l", i, i)
-        frame = bound(frame, [*keys, *done], **row)
+            row[f"w{i}{j}"] = f"-{_dot(f'l{i}{k} * w{k}{j}' for k in range(j, i))} / l{i}{i}"
+        frame = _held(frame, [*keys, *done], row)
         done += row
-    det = reduce(lambda a, b: a * b, [col("l", i, i) for i in range(DIMS)])
-    return frame.select(*keys, *[f"w{i}{j}" for i, j in _PAIRS], det.alias("det"))
+    det = " * ".join(f"l{i}{i}" for i in range(DIMS))
+    return frame.selectExpr(*keys, *[f"w{i}{j}" for i, j in _PAIRS], f"{det} AS det")
 
 
 def distance() -> Column:
     """Squared Mahalanobis distance of x0.. from m0.. by w."""
-    off = [F.col(_X[j]) / SCALE - F.col(f"m{j}") for j in range(DIMS)]
-    rows = [reduce(lambda a, b: a + b, [F.col(f"w{i}{j}") * off[j] for j in range(i + 1)]) for i in range(DIMS)]
-    return reduce(lambda a, b: a + b, [r * r for r in rows])
+    rows = [" + ".join(f"w{i}{j} * (x{j} / {SCALE} - m{j})" for j in range(i + 1)) for i in range(DIMS)]
+    return F.expr(" + ".join(f"({r}) * ({r})" for r in rows))
 
 
 def _starts(points: DataFrame) -> DataFrame:
-    """Two first estimates per group: medians with median deviations, and plain moments."""
+    """Three first estimates per group: medians and lower quartiles, each with median deviations, and plain moments."""
     weights = F.col("n")
-    middle = points.groupBy("grp").agg(*[F.percentile(x, F.lit(0.5), weights).alias(f"a{x}") for x in _X])
-    spread = points.join(middle, "grp").groupBy("grp").agg(
-        *[F.first(f"a{x}").alias(f"a{x}") for x in _X],
-        *[F.percentile(F.abs(F.col(x) - F.col(f"a{x}")).cast("long"), F.lit(0.5), weights).alias(f"d{x}") for x in _X],
-    )
-    robust = _factored(spread.select(
-        "grp", F.lit(0).alias("start"),
-        *[(F.col(f"a{x}") / SCALE).alias(f"m{i}") for i, x in enumerate(_X)],
+    shares = {0: 0.5, 2: 0.25}
+    # Stored, its size is known: a small table of groups is sent to the points, so that no group meets in one task.
+    middles = stored(points.groupBy("grp").agg(
+        *[F.percentile(x, F.lit(share), weights).alias(f"a{start}{x}") for start, share in shares.items() for x in _X]
+    ), "rules-middles")
+    off = points.join(middles, "grp").select("grp", "n", *[
+        F.abs(F.col(x) - F.col(f"a{start}{x}")).cast("long").alias(f"o{start}{x}") for start in shares for x in _X
+    ])
+    spread = off.groupBy("grp").agg(
+        *[F.percentile(f"o{start}{x}", F.lit(0.5), weights).alias(f"d{start}{x}") for start in shares for x in _X]
+    ).join(middles, "grp")
+    each = [F.struct(
+        F.lit(start).alias("start"), *[F.col(f"a{start}{x}").alias(f"a{x}") for x in _X], *[F.col(f"d{start}{x}").alias(f"d{x}") for x in _X]
+    ) for start in shares]
+    robust = _factored(spread.select("grp", F.inline(F.array(*each))).selectExpr(
+        "grp", "start", *[f"a{x} / {SCALE} AS m{i}" for i, x in enumerate(_X)],
         *[
-            ((1.4826 * F.col(f"d{_X[i]}") / SCALE) * (1.4826 * F.col(f"d{_X[i]}") / SCALE) + F.lit(FLOORS[i] ** 2)
-             if i == j else F.lit(0.0)).alias(f"c{i}{j}")
+            f"pow(1.4826D * d{_X[i]} / {SCALE}, 2) + {FLOORS[i] ** 2!r}D AS c{i}{j}" if i == j else f"0D AS c{i}{j}"
             for i, j in _PAIRS
         ],
     ))
@@ -183,20 +189,37 @@ def _concentrated(points: DataFrame, params: DataFrame) -> DataFrame:
     whole = Window.partitionBy("grp", "start")
     before = whole.orderBy("near").rowsBetween(Window.unboundedPreceding, -1)
     held = classes.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("_all", F.sum("n").over(whole))
-    inner = held.where(F.col("_before") < F.ceil(SHARE * F.col("_all")))
-    return inner.groupBy("grp", "start").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in _SUMS])
+    left = F.ceil(SHARE * F.col("_all")) - F.col("_before")
+    # Sums of whole classes are exact integers and one class per group is taken in part, so the order of rows has no influence.
+    taken = held.withColumn("_left", left).where("_left > 0").groupBy("grp", "start").agg(
+        F.expr("coalesce(max(CASE WHEN n > _left THEN _left / n END), 0D) AS _part"),
+        *[
+            F.expr(f"coalesce(sum(CASE WHEN n {sign} _left THEN {c} END), 0) AS {name}{c}")
+            for name, sign in (("_full_", "<="), ("_some_", ">")) for c in ("n", *_SUMS)
+        ],
+    )
+    return taken.selectExpr("grp", "start", *[f"_full_{c} + _part * _some_{c} AS {c}" for c in ("n", *_SUMS)])
 
 
-def estimates(points: DataFrame, steps: int = STEPS) -> DataFrame:
+def estimates(points: DataFrame) -> DataFrame:
     """The minimum covariance determinant estimate per group: grp, m0.., w00.., det.
 
-    `points` has grp, x0 to x4 and n, the number of documents with that vector.
+    `points` has grp, x0 to x4 and n, the number of documents with that vector. Groups whose starts have come to
+    rest take no further steps.
     """
-    params = stored(_starts(points), "rules-start")
-    for _ in range(steps):
-        params = stored(_estimate(_concentrated(points, params), CONSISTENCY), "rules-step")
-    columns = [c for c in params.columns if c != "grp"]
-    best = params.groupBy("grp").agg(F.min_by(F.struct(*columns), F.struct("det", "start")).alias("_b"))
+    moving = stored(_starts(points), "rules-start").withColumn("last", F.lit(float("inf")))
+    found = None
+    for _ in range(MOST_STEPS):
+        step = _estimate(_concentrated(points, moving), CONSISTENCY).join(moving.select("grp", "start", "last"), ["grp", "start"])
+        step = stored(step, "rules-step")
+        found = step if found is None else found.unionByName(step)
+        moving = step.where(F.col("det") < FALLS * F.col("last")).withColumn("last", F.col("det"))
+        if moving.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"concentration steps did not end after {MOST_STEPS}")
+    columns = [c for c in found.columns if c not in ("grp", "last")]
+    best = found.groupBy("grp").agg(F.min_by(F.struct(*columns), F.struct("det", "start", "last")).alias("_b"))
     return best.select("grp", *[F.col(f"_b.{c}").alias(c) for c in columns if c != "start"])
 
 
@@ -223,7 +246,7 @@ def judge(
     both = points.select("n", *_X, F.explode(F.array(
         F.concat(F.lit("s"), "fine"), F.concat(F.lit("l"), "coarse"))).alias("grp"))
     grouped = stored(both.groupBy("grp", *_X).agg(F.sum("n").alias("n")), "rules-points")
-    large = grouped.groupBy("grp").agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_rows).select("grp")
+    large = stored(grouped.groupBy("grp").agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_rows).select("grp"), "rules-large")
     best = stored(estimates(grouped.join(large, "grp", "left_semi")), "rules-best")
     params = [c for c in best.columns if c != "grp"]
 
