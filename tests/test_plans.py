@@ -182,7 +182,7 @@ def test_trend_and_status_shuffle_orders_by_customer_once(spark, name):
 
 def test_city_and_category_thin_out_before_the_lines(spark):
     plan = shuffled_plan(spark, dashboard.kpi_row(tables(spark), PICKED))
-    assert plan.count("LeftSemi") == 2
+    assert plan.count("LeftSemi") == 1
     assert shuffled_plan(spark, dashboard.top_products(tables(spark), PICKED)).count("LeftSemi") == 2
 
 
@@ -201,3 +201,25 @@ def test_marts_add_up_before_joining(spark):
     # One shuffle per side by customer, one by city, one for the order of the result.
     assert plan.count("Exchange hashpartitioning(customer_id") == 2
     assert plan.count("Exchange") == 4
+
+
+@pytest.mark.parametrize("name", ["kpis", "cities", "retention"])
+def test_a_city_selection_reads_customers_once(spark, folder, name):
+    from tidemark.sources import testdata
+
+    plan = plan_of(dashboard.page(testdata.load(spark, folder), Filters(("NATION_1",)))[name])
+    assert len([line for line in plan.splitlines() if "FileScan" in line and "customer.parquet" in line]) == 1
+
+
+@pytest.mark.parametrize("filters", [Filters(), PICKED])
+def test_customer_counts_and_rows_share_one_shuffle(spark, filters):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = dashboard.orders_with_customer_count(tables(spark), filters)
+        result.collect()
+        final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in final
+    shuffles = [line for line in final.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(shuffles) <= 13

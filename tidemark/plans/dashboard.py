@@ -70,12 +70,14 @@ def star(tables: Tables, filters: Filters = Filters()) -> DataFrame:
     return items.join(products, "product_id").join(orders.join(customers, "customer_id"), "order_id")
 
 
-def filtered_orders(tables: Tables, filters: Filters = Filters(), of_buyers: bool = False) -> DataFrame:
+def filtered_orders(
+    tables: Tables, filters: Filters = Filters(), of_buyers: bool = False, carried: Iterable[str] = ()
+) -> DataFrame:
     """Orders that pass the filters and have a matching line, with `n_lines`.
 
-    A city selection thins out the orders before they meet the lines. Without one, only orders without a
-    customer in a city would go: that is left to `order_facts`, after adding up, unless `of_buyers` asks
-    for it here.
+    A city selection thins out the orders before they meet the lines, and may bring along columns of the
+    customers (`carried`), so that these are not joined again. Without one, only orders without a customer
+    in a city would go: that is left to `of_customers`, after adding up, unless `of_buyers` asks for it here.
     """
     wanted = filters.products(tables.products).select("product_id")
     lines = (
@@ -86,10 +88,27 @@ def filtered_orders(tables: Tables, filters: Filters = Filters(), of_buyers: boo
     )
     orders = filters.orders(tables.orders)
     if of_buyers or filters.cities is not None:
-        orders = orders.join(filters.customers(tables.customers).select("customer_id"), "customer_id", "left_semi")
+        buyers = filters.customers(tables.customers).select("customer_id", *carried)
+        orders = orders.join(buyers, "customer_id", "inner" if carried else "left_semi")
     return orders.join(lines, "order_id")
 
 
+def of_customers(
+    tables: Tables, filters: Filters, columns: Iterable[str], by: Iterable[Column | str], sums: Iterable[Column]
+) -> DataFrame:
+    """Sums of the filtered orders per customer and `by`, with columns of the customer.
+
+    As in the marts, adding up comes before the customers join, so no customer is too large. A city
+    selection joins the customers before, and they are not read twice.
+    """
+    columns = list(columns)
+    if filters.cities is not None:
+        orders = filtered_orders(tables, filters, carried=columns)
+        return orders.groupBy("customer_id", *columns, *by).agg(*sums)
+    facts = filtered_orders(tables, filters).groupBy("customer_id", *by).agg(*sums)
+    return facts.join(filters.customers(tables.customers).select("customer_id", *columns), "customer_id")
+
+
 def _fact_sums(grain: str) -> list[Column]:
     status, amount = F.col("status"), F.col("total_amount")
     weight = F.col("n_lines") if grain == LINE else F.lit(1).cast("long")
@@ -116,13 +135,8 @@ def order_facts(
     by: Iterable[Column | str] = (),
     grain: str = LINE,
 ) -> DataFrame:
-    """Filtered orders added up per customer and `by`, with the customer's city and tier.
-
-    As in the marts, adding up comes before the customers join, so no customer is too large.
-    """
-    facts = filtered_orders(tables, filters).groupBy("customer_id", *by).agg(*_fact_sums(grain))
-    buyers = filters.customers(tables.customers).select("customer_id", "city", "loyalty_tier")
-    return facts.join(buyers, "customer_id")
+    """Filtered orders added up per customer and `by`, with the customer's city and tier."""
+    return of_customers(tables, filters, ["city", "loyalty_tier"], by, _fact_sums(grain))
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -227,18 +241,9 @@ def top_products(tables: Tables, filters: Filters = Filters(), k: int = 10) -> D
 def retention_by_tier(tables: Tables, filters: Filters = Filters()) -> DataFrame:
     """Customers and repeat customers per tier, by filtered orders; canceled orders count too."""
     amount = F.col("total_amount")
-    per_customer = (
-        filtered_orders(tables, filters)
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            *money.sum_parts(amount, "all"),
-            F.count(amount).alias("amounts"),
-        )
-    )
-    tiers = filters.customers(tables.customers).select("customer_id", "loyalty_tier")
+    sums = [F.count(F.lit(1)).alias("orders"), *money.sum_parts(amount, "all"), F.count(amount).alias("amounts")]
     return (
-        per_customer.join(tiers, "customer_id")
+        of_customers(tables, filters, ["loyalty_tier"], [], sums)
         .groupBy("loyalty_tier")
         .agg(
             F.count(F.lit(1)).alias("customers"),
@@ -259,12 +264,19 @@ def retention_by_tier(tables: Tables, filters: Filters = Filters()) -> DataFrame
 def orders_with_customer_count(tables: Tables, filters: Filters = Filters()) -> DataFrame:
     """Every filtered order with the number of filtered orders of its customer.
 
-    COUNT(*) OVER (PARTITION BY customer_id), as a count joined back: a window would sort all
-    orders of a customer in one task, whereas the join may split a large customer.
+    COUNT(*) OVER (PARTITION BY customer_id), as a count joined back: the counts are sent to all tasks if
+    they turn out small. The orders are shuffled by customer once, for the counts and for the rows: the
+    digest makes the counts read the same columns as the rows, without which the plan would hold the whole
+    selection twice.
     """
     tiers = filters.customers(tables.customers).select("customer_id", "loyalty_tier")
-    orders = filtered_orders(tables, filters).select("order_id", "customer_id", "total_amount")
-    counts = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("order_count"))
+    orders = filtered_orders(tables, filters).select("order_id", "customer_id", "total_amount").repartition("customer_id")
+    counts = (
+        orders.groupBy("customer_id")
+        .agg(F.count(F.lit(1)).alias("order_count"), F.max(F.xxhash64("order_id", "total_amount")).alias("digest"))
+        .where("digest is not null")
+        .drop("digest")
+    )
     return orders.join(counts.join(tiers, "customer_id"), "customer_id").select(
         "order_id", "customer_id", "total_amount", "loyalty_tier", "order_count"
     )
