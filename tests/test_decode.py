@@ -9,7 +9,7 @@ from datetime import datetime
 import pytest
 
 from tests.changes import frame, message
-from tidemark.operators import decode
+from tidemark.operators import decode, state
 from tidemark.schemas import ENTITIES
 
 ORDER = {"order_id": 1, "customer_id": 5, "order_ts": 1700000000, "status": "placed", "total_amount": 9.5}
@@ -200,3 +200,37 @@ def test_rejected_rows(spark):
     log = decode.log_rows(decode.route_messages(frame(spark, messages)))
     rows = decode.rejected_rows(log, ENTITIES["orders"]).collect()
     assert [r["kafka_offset"] for r in rows] == [1]
+
+
+FLAWED = (None, "{bad", "[]", "null", "3", b"\xff\xfe", '{"op":"u","ts_ms":"x","after":{"order_id":1,"customer_id":5}}',
+          '{"op":"d","before":{"order_id":4}}', '{"op":"u","after":{"x":1}}', '{"op":"u","after":null}', '{"after":0}', '""')
+
+
+@pytest.mark.parametrize("bits", [64, 32])
+def test_changes_of_messages_are_those_of_their_log_rows(spark, bits):
+    wide = {**ORDER, "order_id": 1 << 40}
+    messages = [message("orders", i, v) for i, v in enumerate((*FLAWED, {"op": "c", "after": ORDER}, {"op": "u", "after": wide}))]
+    messages += [message("customers", 50, {"op": "u", "after": {"customer_id": 1}})]
+    made = frame(spark, messages)
+    orders = ENTITIES["orders"]
+    log = decode.log_rows(decode.route_messages(made))
+    logged = decode.decode_changes(log.where("entity = 'orders'"), orders, bits)
+    direct = decode.message_changes(made, orders, bits)
+    assert direct.schema == logged.schema
+    applied = "action IN ('upsert', 'delete', 'reject')"
+    assert sorted(map(repr, direct.where(applied).collect())) == sorted(map(repr, logged.where(applied).collect()))
+    assert {r["kafka_offset"] for r in direct.collect()} == {i for i, v in enumerate(FLAWED) if v is not None} | {12, 13}
+
+
+def test_changes_of_messages_parse_once(spark):
+    made = frame(spark, [message("orders", 0, {"op": "c", "after": ORDER})])
+    folded = state.latest_changes(decode.message_changes(made, ENTITIES["orders"]), ENTITIES["orders"])
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("parse_json") == 1 and "Generate" not in plan
+
+
+def test_wanted_columns_alone_are_built(spark):
+    routed = decode.route_messages(frame(spark, [message("orders", 0, {"op": "c", "after": ORDER})]), ["route", "op"])
+    (row,) = routed.where("route = 'log'").collect()
+    assert routed.columns == ["route", "op"] and row["op"] == "c"
+    assert "processed_at" not in routed._jdf.queryExecution().optimizedPlan().toString()

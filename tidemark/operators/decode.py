@@ -5,6 +5,8 @@ A message carries a JSON envelope `{"op", "ts_ms", "before", "after"}`. Two step
 * `route_messages` splits messages into log rows and rows that cannot be logged. A log row may
   still be impossible to apply: the log is written first and is a superset of what is applied.
 * `decode_changes` reads one entity's log rows into typed columns and an `action`.
+
+Where the log itself is not wanted, `message_changes` takes both steps with one parse.
 """
 
 from __future__ import annotations
@@ -33,21 +35,23 @@ def entity_of(topic: Column) -> Column:
     return F.element_at(F.split(topic, r"\."), -1)
 
 
-def route_messages(messages: DataFrame) -> DataFrame:
+def route_messages(messages: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per message with a value: `route` says whether it belongs in the log.
 
     Messages without a value are dropped. A row that cannot be logged (not UTF-8, not JSON, not
     an object, unreadable ts_ms) keeps its raw bytes and a reason. A filter on the topic belongs before
-    this step: later ones stay above it.
+    this step: later ones stay above it. With `columns`, only these are built; a later select would not spare the others.
     """
-    return computed_once(_routed(messages))
+    routed = _judged(messages).select(*_routed_columns())
+    return computed_once(routed.select(*columns) if columns else routed)
 
 
-def _routed(messages: DataFrame) -> DataFrame:
-    routed = messages.where(F.col("value").isNotNull())
-    for columns in _route_steps():
-        routed = routed.select(*columns)
-    return routed
+def _judged(messages: DataFrame) -> DataFrame:
+    """Messages with a value, their parsed documents and why they cannot be logged."""
+    judged = messages.where(F.col("value").isNotNull())
+    for columns in _judging_steps():
+        judged = judged.select(*columns)
+    return judged
 
 
 def of_entity(messages: DataFrame, entity: str) -> DataFrame:
@@ -56,7 +60,7 @@ def of_entity(messages: DataFrame, entity: str) -> DataFrame:
 
 
 @cache
-def _route_steps() -> tuple[list[Column], ...]:
+def _judging_steps() -> tuple[list[Column], ...]:
     text = F.try_validate_utf8(F.col("value"))
     parsed = [
         entity_of(F.col("topic")).alias("entity"),
@@ -81,14 +85,18 @@ def _route_steps() -> tuple[list[Column], ...]:
         .when(F.col("head").isNull(), "not an object")
         .when(unreadable, "unreadable ts_ms")
     )
-    routed = [
+    return parsed, head, fields, [F.col("*"), reason.alias("reason")]
+
+
+@cache
+def _routed_columns() -> list[Column]:
+    return [
         F.when(F.col("reason").isNull(), LOG).otherwise(QUARANTINE).alias("route"),
         *[F.col(c) for c in LOG_COLUMNS if c != "processed_at"],
         F.col("reason"),
         F.when(F.col("reason").isNotNull(), F.col("value")).alias("raw_value"),
         time.now().alias("processed_at"),
     ]
-    return parsed, head, fields, [F.col("*"), reason.alias("reason")], routed
 
 
 def log_rows(routed: DataFrame) -> DataFrame:
@@ -133,9 +141,24 @@ def decode_changes(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFra
 
     `id_bits=32` additionally rejects ids outside the 32-bit range.
     """
+    parsed = log.select("op", *POSITION, F.try_parse_json("payload").alias("doc"))
+    return _decoded(parsed, entity, id_bits)
+
+
+def message_changes(messages: DataFrame, entity: Entity, id_bits: int = 64) -> DataFrame:
+    """The changes of one entity's messages as `decode_changes` gives them for their log rows, each payload parsed once.
+
+    No filter takes out messages that cannot be logged, as it would parse again below the projection; they are ignored changes.
+    """
+    judged = _judged(of_entity(messages, entity.name))
+    logged = F.when(F.col("reason").isNull(), F.col("doc"))
+    return _decoded(judged.select("op", *POSITION, logged.alias("doc")), entity, id_bits)
+
+
+def _decoded(parsed: DataFrame, entity: Entity, id_bits: int) -> DataFrame:
     for columns in _decode_steps(entity, id_bits):
-        log = log.select(*columns)
-    return log
+        parsed = parsed.select(*columns)
+    return parsed
 
 
 @cache
@@ -149,7 +172,6 @@ def _decode_steps(entity: Entity, id_bits: int) -> tuple[list[Column], ...]:
     defaults = dict(entity.defaults)
     position = [F.col(c) for c in POSITION]
     is_delete = F.coalesce(F.col("op"), F.lit("")) == "d"
-    parsed = [F.col("op"), *position, F.try_parse_json("payload").alias("doc")]
     images = [
         F.col("*"),
         # The earlier image only matters for deletions.
@@ -205,7 +227,7 @@ def _decode_steps(entity: Entity, id_bits: int) -> tuple[list[Column], ...]:
         ],
         *position,
     ]
-    return parsed, images, typed, changes
+    return images, typed, changes
 
 
 def rejected_rows(log: DataFrame, entity: Entity, id_bits: int = 64) -> DataFrame:

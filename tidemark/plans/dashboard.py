@@ -328,17 +328,16 @@ def date_bounds(tables: Tables) -> DataFrame:
     )
 
 
+#: What `latest_events` reads of the log.
+EVENT_COLUMNS = ["entity", "op", "kafka_topic", "kafka_partition", "kafka_offset", "event_ts_ms", "processed_at"]
+
+
 def latest_events(log: DataFrame, k: int = 30, newest_first: Iterable[str] = ()) -> DataFrame:
     """The newest k log rows by the given columns, then by time of processing and offset."""
     newest_first = list(newest_first)
     shown = log.select(
-        "entity",
-        "op",
-        "kafka_topic",
-        "kafka_partition",
-        "kafka_offset",
+        *[c for c in EVENT_COLUMNS if c != "event_ts_ms"],
         time.from_millis(F.col("event_ts_ms")).alias("event_ts"),
-        "processed_at",
         *newest_first,
     )
     return shown.orderBy(

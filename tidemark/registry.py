@@ -45,20 +45,16 @@ def _on_tables(plan: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
-def _log(spark: SparkSession, folder: str, entity: str | None = None) -> DataFrame:
-    """The events' log, of one entity if wanted: its topics are chosen before anything is parsed."""
-    messages = testdata.messages(configure(spark), folder)
-    if entity is not None:
-        messages = decode.of_entity(messages, entity)
-    return decode.log_rows(decode.route_messages(messages))
+def _log(spark: SparkSession, folder: str) -> DataFrame:
+    return decode.log_rows(decode.route_messages(testdata.messages(configure(spark), folder)))
 
 
 def _state(name: str) -> Query:
     entity = ENTITIES[name]
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        log = _log(spark, folder, name)
-        return state.live_rows(state.latest_changes(decode.decode_changes(log, entity), entity), entity)
+        changed = decode.message_changes(testdata.messages(configure(spark), folder), entity)
+        return state.live_rows(state.latest_changes(changed, entity), entity)
 
     return run
 
@@ -202,7 +198,8 @@ def _raw_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def _latest_events(k: int) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return dashboard.latest_events(_log(spark, folder), k).drop("processed_at")
+        routed = decode.route_messages(testdata.messages(configure(spark), folder), ["route", *dashboard.EVENT_COLUMNS])
+        return dashboard.latest_events(routed.where(F.col("route") == decode.LOG), k).drop("processed_at")
 
     return run
 

@@ -42,8 +42,7 @@ def current_rows(messages: DataFrame, entity: Entity) -> DataFrame:
 
     Within a key, the highest position counts, so messages that come late or twice change nothing.
     """
-    log = decode.log_rows(decode.route_messages(decode.of_entity(messages, entity.name)))
-    return state.latest_changes(decode.decode_changes(log, entity), entity)
+    return state.latest_changes(decode.message_changes(messages, entity), entity)
 
 
 def start_state(messages: DataFrame, entity: Entity, folder: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
