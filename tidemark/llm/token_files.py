@@ -38,6 +38,8 @@ SPREAD = 2
 _SEED = 0x9E3779B97F4A7C15
 _PRINT = np.uint64(0xD1B54A32D192ED03)
 READ_BYTES = 8 << 20
+#: Bytes of the texts sent to a worker at once.
+BATCH_BYTES = 4 << 20
 #: Words that are read one by one; for more, the whole part is read once.
 MOST_READS = 64
 
@@ -240,7 +242,7 @@ _MANIFEST = pa.schema(
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
     """Writes the documents' shards below the folder in ascending doc_id order; the manifest."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = rows.sort(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return stored(ordered.mapInArrow(_written(folder, tokenizer, end_id), "shard int, name string, n_docs long, n_ids long, least long, greatest long"), "token-manifest")

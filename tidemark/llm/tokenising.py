@@ -16,8 +16,8 @@ import numpy as np
 
 #: Ids are little-endian unsigned 32-bit integers.
 ID = np.dtype("<u4")
-#: Pieces kept per Python worker, about 250 MB; then the store starts anew.
-MOST_PIECES = 1_200_000
+#: Pieces and characters in each of the two generations a Python worker keeps; a piece takes some 130 bytes.
+MOST_PIECES, MOST_CHARS = 400_000, 8_000_000
 #: After a letter these always begin a piece of their own, and none of them begins a contraction.
 _MARKS = '.,;:!?*$%&#|"()[]{}-_/'
 #: Blanks other than single spaces and line feeds between words: such texts are encoded whole.
@@ -41,10 +41,13 @@ def _ids(ids: list[int]) -> bytes:
 
 
 class _Pieces(dict):
-    """Ids by piece; an absent one is encoded and kept."""
+    """Ids by piece; an absent one is encoded and kept, without the marks that end it. A full store becomes the older generation, out of which pieces that
+    are met again are taken, so that common ones stay.
+    """
 
     def __init__(self, tokenizer, drops_blanks: bool):
         super().__init__()
+        self.older, self.chars = {}, 0
         self.tokenizer, self.model, self.drops_blanks = tokenizer, tokenizer.model, drops_blanks
         self.short_cut = True
         self.short_cut = all(self._letters(p) == self._whole(p) for p in _PROBES)
@@ -70,17 +73,22 @@ class _Pieces(dict):
         return _ids([t.id for t in self.model.tokenize(word)])
 
     def __missing__(self, piece: str) -> bytes:
-        stem = piece.rstrip(_MARKS)
-        # Lower-casing may end a word in a mark, which a following mark would join.
-        if stem and stem != piece and stem[-1].isalpha() and stem[-1].lower()[-1].isalpha():
-            ids = self[stem] + self[piece[len(stem):]]
-        elif piece[-1:].isalpha():
-            ids = self._letters(piece)
-        else:
-            ids = self._whole(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            stem = piece.rstrip(_MARKS)
+            # Lower-casing may end a word in a mark, which a following mark would join.
+            if stem and stem != piece and stem[-1].isalpha() and stem[-1].lower()[-1].isalpha():
+                return self[stem] + self[piece[len(stem):]]
+            ids = self._letters(piece) if piece[-1:].isalpha() else self._whole(piece)
         self[piece] = ids
+        self.chars += len(piece)
         return ids
 
+    def trim(self) -> None:
+        if len(self) > MOST_PIECES or self.chars > MOST_CHARS:
+            self.older, self.chars = dict(self), 0
+            self.clear()
+
 
 class TextEncoder:
     """Encodes texts as the library does with its defaults: a special token's string in a text becomes that token's id.
@@ -103,8 +111,7 @@ class TextEncoder:
         """The ids of the whole text."""
         if "\0" in text or not self.drops_blanks and self._has_runs(text) or self.added and self._may_hold_added(text):
             return _ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if len(self.pieces) > MOST_PIECES:
-            self.pieces.clear()
+        self.pieces.trim()
         cut = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
         return b"".join(map(self.pieces.__getitem__, cut))
 
