@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.decode import DELETE, POSITION, UPSERT
+from tidemark.operators.shaping import computed_once
 from tidemark.schemas import Entity
 
 DELETED, TOPIC, PARTITION, OFFSET, BATCH = "_deleted", "_topic", "_partition", "_offset", "_batch"
@@ -30,9 +31,12 @@ def part_schema(entity: Entity) -> T.StructType:
     return T.StructType([*version_schema(entity).fields, T.StructField(BATCH, T.LongType())])
 
 
-def latest_parts(parts: DataFrame, entity: Entity) -> DataFrame:
-    """One row per key out of parts with one row per key and batch: that of the latest batch."""
-    columns = [c for c in part_schema(entity).fieldNames() if c != entity.key]
+def latest_parts(parts: DataFrame, entity: Entity, columns: list[str] | None = None) -> DataFrame:
+    """One row per key out of parts with one row per key and batch: that of the latest batch.
+
+    With `columns`, only the key and these are shuffled; a later select would not spare the others.
+    """
+    columns = [c for c in columns or part_schema(entity).fieldNames() if c != entity.key]
     folded = parts.groupBy(entity.key).agg(F.max_by(F.struct(*columns), F.col(BATCH)).alias("row"))
     return folded.select(entity.key, "row.*")
 
@@ -67,8 +71,17 @@ def latest_changes(changes: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
-def live_rows(versioned: DataFrame, entity: Entity) -> DataFrame:
-    return versioned.where(~F.col(DELETED)).select(*entity.column_names)
+def every_change(changes: DataFrame, entity: Entity) -> DataFrame:
+    """All changes that apply, as `latest_changes` lays them out: the same rows where each key has one change, without a shuffle."""
+    applies = F.col("action").isin(UPSERT, DELETE).alias("_applies")
+    renamed = [F.col(c).alias(name) for c, name in zip(POSITION, (TOPIC, PARTITION, OFFSET))]
+    rows = changes.select(*entity.column_names, (F.col("action") == DELETE).alias(DELETED), *renamed, applies)
+    # Computed before the filter, which would otherwise parse every payload once more.
+    return computed_once(rows).where("_applies").select(*versioned_columns(entity))
+
+
+def live_rows(versioned: DataFrame, entity: Entity, columns: list[str] | None = None) -> DataFrame:
+    return versioned.where(~F.col(DELETED)).select(*columns or entity.column_names)
 
 
 def merge_versions(stored: DataFrame, incoming: DataFrame, entity: Entity) -> DataFrame:

@@ -12,19 +12,22 @@ from tidemark.sources.tables import Tables
 
 #: The key that joins of a table go by most.
 BUCKET_KEYS = {"customers": "customer_id", "orders": "order_id", "order_items": "order_id", "payments": "order_id", "products": "product_id"}
+BUCKET_ROWS, LEAST_BUCKETS = 2_000_000, 8
 MONTH = "order_month"
 
 
-def save_bucketed(tables: Tables, prefix: str, buckets: int, names: list[str] | None = None) -> None:
+def save_bucketed(tables: Tables, prefix: str, buckets: int | None, names: list[str] | None = None, keys: dict[str, str] = BUCKET_KEYS) -> None:
     """Save tables as `<prefix><entity>`, rows of equal join keys in one bucket.
 
     Joins and sums by the key of tables with equal numbers of buckets then need no shuffle. A bucket is one file, and
-    one task reads it: choose their number so that a bucket stays near 256 MB. Rows are dealt to the files before they are written.
+    one task reads it: choose their number so that a bucket stays near 256 MB; without a number there is one for every `BUCKET_ROWS` rows
+    of the table. Rows are dealt to the files before they are written.
     """
     for name in names or list(BUCKET_KEYS):
-        key = BUCKET_KEYS[name]
-        dealt = tables.table(name).repartition(buckets, key)
-        dealt.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(f"{prefix}{name}")
+        key, frame = keys[name], tables.table(name)
+        number = buckets or max(LEAST_BUCKETS, -(-frame.count() // BUCKET_ROWS))
+        dealt = frame.repartition(number, key)
+        dealt.write.bucketBy(number, key).sortBy(key).mode("overwrite").option("compression", "zstd").saveAsTable(f"{prefix}{name}")
 
 
 def bucketed_tables(spark: SparkSession, prefix: str) -> Tables:

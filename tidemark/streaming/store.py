@@ -38,6 +38,8 @@ from tidemark.streaming import keeping
 
 #: Parts after which a table is written as a whole, however small they are.
 MOST_PARTS = 24
+#: Payloads repeat their field names; this takes half the space of the default.
+CODEC = "zstd"
 _RECENT_BATCHES = 64
 
 _ROUTED_SCHEMA = T.StructType(
@@ -100,9 +102,9 @@ class ChangeStore:
 
     # Reading
 
-    def current(self, name: str) -> DataFrame:
-        """Current rows of an entity; an empty table before its first change."""
-        return self._current(self.commit(), ENTITIES[name])
+    def current(self, name: str, columns: list[str] | None = None) -> DataFrame:
+        """Current rows of an entity, or some of their columns; an empty table before its first change."""
+        return self._current(self.commit(), ENTITIES[name], columns=columns)
 
     def tables(self) -> Tables:
         return Tables(**{name: self.current(name) for name in ENTITIES})
@@ -117,15 +119,15 @@ class ChangeStore:
         """A mart as the batches have kept it."""
         return keeping.kept_mart(self, self.commit(), name)
 
-    def _current(self, commit: Commit, entity: Entity, only: DataFrame | None = None) -> DataFrame:
-        """Current rows, if wanted only those whose keys are in `only`."""
+    def _current(self, commit: Commit, entity: Entity, only: DataFrame | None = None, columns: list[str] | None = None) -> DataFrame:
+        """Current rows, if wanted only those whose keys are in `only`, or some of their columns."""
         parts = commit.parts.get(entity.name, [])
         stored = self.read_parts(entity.name, parts, state.part_schema(entity))
         if only is not None:
             stored = stored.join(only.select(entity.key), entity.key, "left_semi")
         if len(parts) > 1:
-            stored = state.latest_parts(stored, entity)
-        return state.live_rows(stored, entity)
+            stored = state.latest_parts(stored, entity, columns and [*columns, state.DELETED])
+        return state.live_rows(stored, entity, columns)
 
     def read_parts(self, table: str, parts: list[list], layout: T.StructType) -> DataFrame:
         paths = [self.folder.path("parts", table, part) for part, _ in parts]
@@ -175,10 +177,11 @@ class ChangeStore:
 
     # Writing
 
-    def apply_batch(self, messages: DataFrame, batch_id: int, stream: str = "batch", unique: bool = False) -> bool:
+    def apply_batch(self, messages: DataFrame, batch_id: int, stream: str = "batch", unique: bool = False, once_per_key: bool = False) -> bool:
         """Log and apply one batch; False if this stream's batch was committed before.
 
-        `unique` promises that no message is in the batch twice, which then is not looked into.
+        `unique` promises that no message is in the batch twice, which then is not looked into. `once_per_key` expects one change of
+        a key in the batch, as captures give: changes are written as they come, and only their keys are shuffled to see whether it holds.
         """
         commit = self.commit()
         if commit.streams.get(stream, -1) >= batch_id:
@@ -195,7 +198,7 @@ class ChangeStore:
         present = set(self.folder.names("log", f"batch={number}", f"route={decode.LOG}"))
         changed = [e for e in ENTITIES.values() if f"entity={e.name}" in present]
         after = Commit(number, {name: list(parts) for name, parts in commit.parts.items()})
-        self.side_by_side(lambda e: self._append(batch, after, e), changed)
+        self.side_by_side(lambda e: self._append(batch, after, e, once_per_key), changed)
         if self.keep_marts:
             keeping.keep_marts(self, commit, after)
             keeping.rewrite(self, after, outgrown)
@@ -214,16 +217,24 @@ class ChangeStore:
     def write_part(self, frame: DataFrame, commit: Commit, table: str, part: str) -> None:
         """Write a part and note it in the commit if it has rows, which are counted while they are written."""
         counted = Observation()
-        frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.folder.path("parts", table, part))
+        frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", CODEC).parquet(self.folder.path("parts", table, part))
         rows = counted.get.get("rows", 0)
         if rows:
             commit.parts.setdefault(table, []).append([part, rows])
 
-    def _append(self, batch: DataFrame, commit: Commit, entity: Entity) -> None:
+    def _append(self, batch: DataFrame, commit: Commit, entity: Entity, once_per_key: bool = False) -> None:
         """Write what a logged batch changes in an entity's table."""
         log = batch.where((F.col("route") == decode.LOG) & (F.col("entity") == entity.name))
-        changes = state.latest_changes(decode.decode_changes(log, entity), entity)
-        self.write_part(changes.withColumn(state.BATCH, F.lit(commit.number).cast("long")), commit, entity.name, str(commit.number))
+        changes, number = decode.decode_changes(log, entity), F.lit(commit.number).cast("long")
+        part = str(commit.number)
+        if once_per_key:
+            self.write_part(state.every_change(changes, entity).withColumn(state.BATCH, number), commit, entity.name, part)
+            written = self.spark.read.schema(state.part_schema(entity)).parquet(self.folder.path("parts", entity.name, part))
+            if written.groupBy(entity.key).count().where("count > 1").isEmpty():
+                return
+            commit.parts[entity.name].pop()
+            part = f"{part}-folded"
+        self.write_part(state.latest_changes(changes, entity).withColumn(state.BATCH, number), commit, entity.name, part)
 
     def _rewrite(self, commit: Commit, entity: Entity) -> None:
         """Write a table as a whole, without its deleted keys, once that pays."""
@@ -235,7 +246,7 @@ class ChangeStore:
 
     def _write_log(self, routed: DataFrame, *parts: str) -> None:
         """One pass over the batch, no shuffle: a broker partition belongs to one entity already."""
-        routed.write.mode("overwrite").partitionBy("route", "entity").parquet(self.folder.path(*parts))
+        routed.write.mode("overwrite").option("compression", CODEC).partitionBy("route", "entity").parquet(self.folder.path(*parts))
 
     def _read_log(self, *parts: str) -> DataFrame:
         base = self.folder.path(parts[0])
