@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import zlib
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -68,3 +70,18 @@ def test_awkward_rows(awkward, nothing, labels, no_labels):
     assert all(r["score"] == 0 for r in got if not (r["text"] or "").split())
     assert {r["score"] for r in toxicity.score(awkward, no_labels, ["doc_id"]).collect()} == {0.0}
     assert toxicity.score(nothing, labels, ["doc_id"]).count() == 0
+
+
+def test_training_holds_words_not_windows(monkeypatch):
+    """Memory of training grows by a few bytes a word; windows were held one by one, at some 170 bytes each."""
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 1)
+    texts = [" ".join(f"w{(i * 7 + d * 13) % 300}" for i in range(6000)) for d in range(40)]
+    labels = np.arange(40) % 2
+    tracemalloc.start()
+    try:
+        toxicity.train(texts, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 << 20

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 1500, 30_000
 EPOCHS, LEAST_STEPS, BATCH, RATE = 10, 500, 128, 0.01
 #: Words whose inputs are kept per Python worker, and windows that are scored together.
 MOST_WORDS, WINDOWS_AT_ONCE = 400_000, 2048
+#: Words of the sample whose inputs are put together at once.
+WORDS_AT_ONCE = 1 << 15
 RUN_CHARS = 1 << 18
 _EDGES = string.punctuation + "¡¿«»„“”‘’…"
 Params = dict[str, np.ndarray]
@@ -65,9 +68,23 @@ class _Vocabulary:
     """Features of the sample's words."""
 
     def __init__(self, words: list[str]):
-        self.bucket, self.grams, self.first = word_features(words)
+        found = [word_features(words[at : at + WORDS_AT_ONCE]) for at in range(0, len(words), WORDS_AT_ONCE)]
+        bases = np.cumsum([0] + [len(grams) for _, grams, _ in found])
+        self.bucket = np.concatenate([bucket for bucket, _, _ in found]).astype(np.int32)
+        self.grams = np.concatenate([grams for _, grams, _ in found]).astype(np.int32)
+        self.first = np.concatenate([first + base for (_, _, first), base in zip(found, bases, strict=False)])
         self.count = np.diff(np.append(self.first, len(self.grams)))
 
+    def projections(self, p: Params) -> np.ndarray:
+        """What each word adds to the gates of both directions."""
+        table = np.empty((len(self.bucket), 6 * HIDDEN), np.float32)
+        edges = np.append(self.first, len(self.grams))
+        for at in range(0, len(table), WORDS_AT_ONCE):
+            first = edges[at : at + WORDS_AT_ONCE + 1]
+            part = slice(at, at + len(first) - 1)
+            table[part] = _projected(p, self.bucket[part], self.grams[first[0] : first[-1]], first[:-1] - first[0])
+        return table
+
 
 def _inputs(p: Params, bucket: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
     count = np.diff(np.append(first, len(grams)))
@@ -192,7 +209,11 @@ def gradients(p: Params, vocabulary: _Vocabulary, windows: np.ndarray, labels: n
 
 def projections(p: Params, words: list[str]) -> np.ndarray:
     """What each word adds to the gates of both directions."""
-    x = _inputs(p, *word_features(words))
+    return _projected(p, *word_features(words))
+
+
+def _projected(p: Params, bucket: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+    x = _inputs(p, bucket, grams, first)
     return np.concatenate([x @ p["wf"] + p["bf"], x @ p["wb"] + p["bb"]], axis=1)
 
 
@@ -201,10 +222,11 @@ def window_starts(n_words: int) -> np.ndarray:
     return np.arange(min(n_words, max(1, n_words - WINDOW + 1)))
 
 
-def _score_windows(p: Params, table: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    found = np.empty(len(windows), np.float32)
-    for at in range(0, len(windows), WINDOWS_AT_ONCE):
-        part = windows[at : at + WINDOWS_AT_ONCE].T
+def _score_windows(p: Params, table: np.ndarray, windows: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Scores of windows, or of those windows that `starts` picks."""
+    found = np.empty(len(windows if starts is None else starts), np.float32)
+    for at in range(0, len(found), WINDOWS_AT_ONCE):
+        part = (windows[at : at + WINDOWS_AT_ONCE] if starts is None else windows[starts[at : at + WINDOWS_AT_ONCE]]).T
         mask = part >= 0
         found[at : at + part.shape[1]] = logits(p, table[np.maximum(part, 0)], None if mask.all() else mask)
     return found
@@ -247,56 +269,64 @@ def _excess(p: Params, vocabulary: _Vocabulary, words: list[np.ndarray], toxic:
     """Puts into the first place of every embedding how far its documents are toxic beyond chance, in
     standard deviations; returns that by word."""
     share = toxic.mean()
-
-    def beyond(parts: list[np.ndarray], n: int) -> np.ndarray:
-        held = np.concatenate(parts)
-        seen = np.bincount(held, minlength=n)
-        bad = np.bincount(np.concatenate([x for x, t in zip(parts, toxic, strict=True) if t]), minlength=n)
-        return (bad - share * seen) / np.sqrt(share * (1 - share) * seen + 1)
-
-    buckets = [np.unique(vocabulary.bucket[w]) for w in words]
-    grams = []
-    for w in words:
+    # Documents, and toxic ones, that hold each word, word bucket and n-gram bucket.
+    seen, bad = ([np.zeros(n, np.int64) for n in (len(vocabulary.bucket), WORD_BUCKETS, GRAM_BUCKETS)] for _ in range(2))
+    for w, is_toxic in zip(words, toxic, strict=True):
         counts = vocabulary.count[w]
         before = np.concatenate(([0], np.cumsum(counts)))[:-1]
-        grams.append(np.unique(vocabulary.grams[np.repeat(vocabulary.first[w] - before, counts) + np.arange(counts.sum())]))
-    p["word"][:, 0] = np.clip(beyond(buckets, WORD_BUCKETS) / 4, -1, 1)
-    p["gram"][:, 0] = np.clip(beyond(grams, GRAM_BUCKETS) / 4, -1, 1)
-    return beyond(words, len(vocabulary.bucket))
+        grams = vocabulary.grams[np.repeat(vocabulary.first[w] - before, counts) + np.arange(counts.sum())]
+        for k, held in enumerate((w, np.unique(vocabulary.bucket[w]), np.unique(grams))):
+            seen[k][held] += 1
+            bad[k][held] += is_toxic
+    by_word, by_bucket, by_gram = ((b - share * s) / np.sqrt(share * (1 - share) * s + 1) for b, s in zip(bad, seen, strict=True))
+    p["word"][:, 0] = np.clip(by_bucket / 4, -1, 1)
+    p["gram"][:, 0] = np.clip(by_gram / 4, -1, 1)
+    return by_word
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 11) -> Params:
-    """Fits the network to labelled texts; the sample must hold both labels."""
+    """Fits the network to labelled texts; the sample must hold both labels.
+
+    The texts lie end to end as word numbers, each at least a window long, and a window is the place it begins at: its words
+    are looked up when it is read, so memory grows by a few bytes for every word of the sample.
+    """
     numbers: dict[str, int] = {}
-    windows, owner = [], []
+    ids, docs = [], []
     for d, text in enumerate(texts):
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in text.lower().split()], np.int64)
-        padded = np.concatenate([ids, np.full(max(0, WINDOW - len(ids)), -1)])
-        starts = window_starts(len(ids))
-        windows += [padded[s : s + WINDOW] for s in starts]
-        owner += [d] * len(starts)
-    windows, owner = np.array(windows), np.array(owner)
-    names = list(numbers)
-    vocabulary = _Vocabulary(names)
+        words = np.array([numbers.setdefault(w, len(numbers)) for w in text.lower().split()], np.int32)
+        if len(words):
+            ids.append(words)
+            docs.append(d)
+    blocks = np.array([max(len(x), WINDOW) for x in ids])
+    flat = np.full(blocks.sum(), -1, np.int32)
+    for base, x in zip(np.cumsum(blocks) - blocks, ids, strict=True):
+        flat[base : base + len(x)] = x
+    starts = np.concatenate([base + window_starts(len(x)) for base, x in zip(np.cumsum(blocks) - blocks, ids, strict=True)]).astype(np.int32)
+    sizes = np.array([len(window_starts(len(x))) for x in ids])
+    begins = np.cumsum(sizes) - sizes
+    windows = sliding_window_view(flat, WINDOW)
+    vocabulary = _Vocabulary(list(numbers))
+    del numbers
     p, rng = initial(), np.random.default_rng(seed)
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     step = 0
-    docs, begins = np.unique(owner, return_index=True)
-    sizes = np.diff(np.append(begins, len(owner)))
-    toxic = labels[docs] == 1
-    excess = _excess(p, vocabulary, [np.unique(windows[b : b + n][windows[b : b + n] >= 0]) for b, n in zip(begins, sizes, strict=True)], toxic)
-    scored = np.where(windows >= 0, excess[np.maximum(windows, 0)], -9.0).max(1)
+    marks = labels[docs]
+    toxic = marks == 1
+    excess = _excess(p, vocabulary, [np.unique(x) for x in ids], toxic)
+    highest = sliding_window_view(np.where(flat >= 0, excess[np.maximum(flat, 0)], -9.0), WINDOW)
+    scored = np.concatenate([highest[starts[at : at + WINDOWS_AT_ONCE]].max(1) for at in range(0, len(starts), WINDOWS_AT_ONCE)])
+    del ids, excess, highest
     for epoch in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // (3 * len(docs))))):
         if epoch > 1:
-            scored = _score_windows(p, projections(p, names), windows)
-        order = np.lexsort((scored, owner))
-        best, next_best = order[begins + sizes - 1], order[begins + np.maximum(sizes - 2, 0)]
+            scored = _score_windows(p, vocabulary.projections(p), windows, starts)
+        best, next_best = np.array([b + np.argsort(scored[b : b + n], kind="stable")[[-1, max(n - 2, 0)]] for b, n in zip(begins, sizes, strict=True)]).T
         drawn = begins + (rng.random(len(docs)) * sizes).astype(np.int64)
         chosen = np.concatenate([best, next_best[~toxic], drawn[~toxic]])
         chosen = rng.permutation(chosen)
         for at in range(0, len(chosen), BATCH):
             part = chosen[at : at + BATCH]
-            _, grads = gradients(p, vocabulary, windows[part], labels[owner[part]].astype(np.float32))
+            owner = np.searchsorted(begins, part, "right") - 1
+            _, grads = gradients(p, vocabulary, windows[starts[part]], marks[owner].astype(np.float32))
             step += 1
             pace = RATE / (1 + epoch / EPOCHS) ** 2 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for k, g in grads.items():
