@@ -77,13 +77,11 @@ class _Vocabulary:
 
     def projections(self, p: Params) -> np.ndarray:
         """What each word adds to the gates of both directions."""
-        table = np.empty((len(self.bucket), 6 * HIDDEN), np.float32)
-        edges = np.append(self.first, len(self.grams))
-        for at in range(0, len(table), WORDS_AT_ONCE):
+        edges, inputs = np.append(self.first, len(self.grams)), []
+        for at in range(0, len(self.bucket), WORDS_AT_ONCE):
             first = edges[at : at + WORDS_AT_ONCE + 1]
-            part = slice(at, at + len(first) - 1)
-            table[part] = _projected(p, self.bucket[part], self.grams[first[0] : first[-1]], first[:-1] - first[0])
-        return table
+            inputs.append(_inputs(p, self.bucket[at : at + WORDS_AT_ONCE], self.grams[first[0] : first[-1]], first[:-1] - first[0]))
+        return _projected(p, np.concatenate(inputs))
 
 
 def _inputs(p: Params, bucket: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -209,11 +207,10 @@ def gradients(p: Params, vocabulary: _Vocabulary, windows: np.ndarray, labels: n
 
 def projections(p: Params, words: list[str]) -> np.ndarray:
     """What each word adds to the gates of both directions."""
-    return _projected(p, *word_features(words))
+    return _projected(p, _inputs(p, *word_features(words)))
 
 
-def _projected(p: Params, bucket: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
-    x = _inputs(p, bucket, grams, first)
+def _projected(p: Params, x: np.ndarray) -> np.ndarray:
     return np.concatenate([x @ p["wf"] + p["bf"], x @ p["wb"] + p["bb"]], axis=1)
 
 
