@@ -23,6 +23,7 @@ import json
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -198,7 +199,8 @@ class ChangeStore:
         present = set(self.folder.names("log", f"batch={number}", f"route={decode.LOG}"))
         changed = [e for e in ENTITIES.values() if f"entity={e.name}" in present]
         after = Commit(number, {name: list(parts) for name, parts in commit.parts.items()})
-        self.side_by_side(lambda e: self._append(batch, after, e, once_per_key), changed)
+        append = partial(self._append, once_per_key=True) if once_per_key else self._append
+        self.side_by_side(lambda e: append(batch, after, e), changed)
         if self.keep_marts:
             keeping.keep_marts(self, commit, after)
             keeping.rewrite(self, after, outgrown)
