@@ -36,11 +36,11 @@ def _cut(path: str, end_id: int, most: int, with_ids: bool):
     step = most * ID.itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
+        encode_all = encoder(path).encode_all
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
-            for number, text in enumerate(batch.column("text").to_pylist()):
-                ids = encode(text or "") + end
+            for number, ids in enumerate(encode_all(text or "" for text in batch.column("text").to_pylist())):
+                ids += end
                 cuts = [0, *range(len(ids) % step or step, len(ids) + 1, step)]
                 for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     part = ids[a:b]

@@ -214,8 +214,8 @@ def _written(folder: str, tokenizer: str, end_id: int):
                 files, root = _open(folder)
                 files.create_dir(root, recursive=True)
                 out = files.open_output_stream(f"{root}/{name}.ids")
-            for text in batch.column("text").to_pylist():
-                ids = np.frombuffer(coder.encode(text or "") + end, ID)
+            for text_ids in coder.encode_all(text or "" for text in batch.column("text").to_pylist()):
+                ids = np.frombuffer(text_ids + end, ID)
                 out.write(ids.astype(kind).tobytes())
                 lengths.append(len(ids))
             column = batch.column("doc_id")
