@@ -70,6 +70,14 @@ def test_only_selected_months_are_read(spark, tmp_path):
     assert held(dynamic) == held(orders.where("month(order_ts) = 3"))
 
 
+def test_plans_show_filters_of_long_names_whole(spark, tmp_path):
+    path, name = str(tmp_path / "long"), "month_" + "x" * 60
+    spark.createDataFrame([(1, date(2024, 2, 1)), (2, date(2024, 3, 1))], f"order_id long, {name} date").write.partitionBy(name).parquet(path)
+    found = spark.read.parquet(path).where(F.col(name).between(date(2024, 2, 1), date(2024, 2, 29)))
+    filters = plan_of(found).split("PartitionFilters: [")[1].split("]")[0]
+    assert "2024-02-01" in filters and "2024-02-29" in filters and found.count() == 1
+
+
 def test_months_known_at_run_time_prune_the_scan(spark, tmp_path):
     """The months come from a stored table with a filter of its own."""
     orders = tables(spark).orders
